@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from glotta.functions.literals import literal_table
+
 TARGET_LANGUAGE = "es"
 ENGLISH = "en"
 
@@ -64,15 +66,15 @@ SPANISH_FORMS = [
 def supported_languages(spark: SparkSession) -> DataFrame:
     """``(lang, model_name)``: 99 rows."""
     rows = [(ENGLISH, ENGLISH_MODEL_NAME)] + [(code, MODEL_NAME.format(code)) for code in SUPPORTED_LANGUAGES]
-    return spark.createDataFrame(rows, "lang string, model_name string")
+    return literal_table(spark, ["lang", "model_name"], rows)
 
 
 def translation_lexicon(spark: SparkSession) -> DataFrame:
     """``(lang, token, es_token)``."""
     rows = [(lang, token, es) for lang, words in TO_SPANISH.items() for token, es in words.items()]
-    return spark.createDataFrame(rows, "lang string, token string, es_token string")
+    return literal_table(spark, ["lang", "token", "es_token"], rows)
 
 
 def spanish_pos_lexicon(spark: SparkSession) -> DataFrame:
     """``(form, lemma, pos)``."""
-    return spark.createDataFrame(SPANISH_FORMS, "form string, lemma string, pos string")
+    return literal_table(spark, ["form", "lemma", "pos"], SPANISH_FORMS)

@@ -1,10 +1,9 @@
 """The published Snowball stemming rules for Spanish as array expressions.
 
 Each step is one ``transform`` over the token array, so stemming needs no join,
-no shuffle and no Python worker. A token travels as ``(w, rv, r2)`` where ``rv``
-and ``r2`` are the 0-based offsets of the regions RV and R2; R1 is implied by
-the definition of r2 and recomputed in the one step that needs it. A regex that ends in ``$`` finds the
-left-most match, which is the longest suffix the step knows.
+no shuffle and no Python worker. A token travels as a struct of the word and the
+0-based offsets of its regions RV, R1 and R2; what one step finds is stored in
+the struct, so the next step reads it instead of computing it again.
 """
 
 from __future__ import annotations
@@ -40,11 +39,20 @@ VOWEL = "aeiouáéíóúü"
 
 
 def _suffix(word: Column, alternatives: str) -> Column:
-    return F.regexp_extract(word, f"({alternatives})$", 1)
+    """The longest of the ``|``-separated endings that ``word`` has, or the empty string.
+
+    One hashed set look-up per ending length, longest first: much cheaper per
+    token than a regex that tries a hundred alternatives at every position.
+    """
+    by_length: dict[int, list[str]] = {}
+    for ending in alternatives.split("|"):
+        by_length.setdefault(len(ending), []).append(ending)
+    tails = [(F.substring(word, -n, n), by_length[n]) for n in sorted(by_length, reverse=True)]
+    return F.coalesce(*[F.when(tail.isin(*endings), tail) for tail, endings in tails], F.lit(""))
 
 
 def _cut(word: Column, n: Column) -> Column:
-    return F.left(word, F.length(word) - n)
+    return F.substring(word, F.lit(1), F.length(word) - n)
 
 
 def _inside(word: Column, suffix: Column, start: Column) -> Column:
@@ -52,115 +60,113 @@ def _inside(word: Column, suffix: Column, start: Column) -> Column:
     return (suffix != "") & (F.length(word) - F.length(suffix) >= start)
 
 
-def _token(word: Column, rv: Column, r2: Column, **extra: Column) -> Column:
-    fields = {"w": word, "rv": rv, "r2": r2, **extra}
-    return F.struct(*[c.alias(name) for name, c in fields.items()])
+def _token(t: Column, carry: tuple[str, ...], **fields: Column) -> Column:
+    """The next state of a token: some fields carried over, some new."""
+    return F.struct(*[t[name].alias(name) for name in carry], *[c.alias(name) for name, c in fields.items()])
 
 
 def _regions(word: Column) -> Column:
-    # Length of the shortest prefix that ends with vowel + consonant, twice; the
-    # whole word when there is none. RV follows its three published cases.
+    """R1 and R2 start after the first and second vowel + consonant, RV after one of three shapes.
+
+    A region whose shape is not in the word starts at the word's end.
+    """
     v, c = f"[{VOWEL}]", f"[^{VOWEL}]"
     n = F.length(word)
+    twice = f"^({c}*{v}+{c})({c}*{v}+{c})?"
+    first = F.length(F.regexp_extract(word, twice, 1))
+    both = F.length(F.regexp_extract(word, twice, 0))
+    rv = F.length(F.regexp_extract(word, f"^(?:.{c}+{v}|{v}{v}+{c}|{c}{v}.)", 0))
+    return F.struct(word.alias("w"), F.when(rv > 0, rv).otherwise(n).alias("rv"),
+                    F.when(first > 0, first).otherwise(n).alias("r1"),
+                    F.when(both > first, both).otherwise(n).alias("r2"))
 
-    def prefix(pattern: str) -> Column:
-        found = F.length(F.regexp_extract(word, pattern, 0))
-        return F.when(found > 0, found).otherwise(n)
 
-    r2 = prefix(f"^{c}*{v}+{c}{c}*{v}+{c}")
-    rv = (F.when(word.rlike(f"^.{c}"), prefix(f"^.{c}{c}*{v}"))
-          .when(word.rlike(f"^{v}{v}"), prefix(f"^{v}{v}{v}*{c}"))
-          .otherwise(F.least(F.lit(3), n)))
-    return _token(word, rv, r2)
+def _find_pronoun(t: Column) -> Column:
+    return _token(t, ("w", "rv", "r1", "r2"), pronoun=_suffix(t["w"], PRONOUNS))
 
 
-def _pronoun_step(t: Column) -> Column:
-    w, rv = t["w"], t["rv"]
-    pronoun = _suffix(w, PRONOUNS)
+def _drop_pronoun(t: Column) -> Column:
+    """An attached pronoun goes when it follows a gerund or infinitive in RV."""
+    w, rv, pronoun = t["w"], t["rv"], t["pronoun"]
     base = _cut(w, F.length(pronoun))
     accented = _suffix(base, GERUND_OR_INFINITIVE_ACCENTED)
     plain = _suffix(base, GERUND_OR_INFINITIVE)
     unaccented = F.concat(_cut(base, F.length(accented)), F.translate(accented, "áéí", "aei"))
-    attached = _inside(w, pronoun, rv)
-    word = (F.when(attached & _inside(base, accented, rv), unaccented)
-            .when(attached & _inside(base, plain, rv), base)
-            .when(attached & base.rlike("uyendo$") & (F.length(base) - 5 >= rv), base)
+    word = (F.when(pronoun == "", w)
+            .when(_inside(base, accented, rv), unaccented)
+            .when(_inside(base, plain, rv), base)
+            .when(base.endswith("uyendo") & (F.length(base) - 5 >= rv), base)
             .otherwise(w))
-    return _token(word, rv, t["r2"])
+    return _token(t, ("rv", "r1", "r2"), w=word)
 
 
-def _standard_suffix_step(t: Column) -> Column:
-    w, rv, r2 = t["w"], t["rv"], t["r2"]
+def _find_standard(t: Column) -> Column:
     classes = [STANDARD_DELETE, STANDARD_ATION, STANDARD_LOGY, STANDARD_UTION, STANDARD_ENCY, STANDARD_AMENTE,
                STANDARD_ADVERB, STANDARD_ITY, STANDARD_IVE]
-    suffix = _suffix(w, "|".join(classes))
+    return _token(t, ("w", "rv", "r1", "r2"), suffix=_suffix(t["w"], "|".join(classes)))
+
+
+def _drop_standard(t: Column) -> Column:
+    """Derivational endings in R2 (``amente`` in R1), then one more ending before some of them."""
+    w, r2, suffix = t["w"], t["r2"], t["suffix"]
     base = _cut(w, F.length(suffix))
-    # `amente` needs R1 only, which starts after the first vowel + consonant.
-    r1_end = F.length(F.regexp_extract(w, f"^[^{VOWEL}]*[{VOWEL}]+[^{VOWEL}]", 0))
-    r1 = F.when(r1_end > 0, r1_end).otherwise(F.length(w))
 
     def then(word: Column, more: str) -> Column:
-        """``word`` without one further suffix, if that lies in R2."""
         extra = _suffix(word, more)
         return F.when(_inside(word, extra, r2), _cut(word, F.length(extra))).otherwise(word)
 
     def is_one_of(alternatives: str) -> Column:
         return suffix.isin(*alternatives.split("|"))
 
-    in_r2 = _inside(w, suffix, r2)
-    adverb_base = (F.when(base.rlike("iv$") & (F.length(base) - 2 >= r2), then(_cut(base, F.lit(2)), "at"))
+    adverb_base = (F.when(base.endswith("iv") & (F.length(base) - 2 >= r2), then(_cut(base, F.lit(2)), "at"))
                    .otherwise(then(base, "os|ic|ad")))
-    word = (F.when((suffix == STANDARD_AMENTE) & _inside(w, suffix, r1), adverb_base)
-            .when((suffix != STANDARD_AMENTE) & in_r2,
-                  F.when(is_one_of(STANDARD_ATION), then(base, "ic"))
-                  .when(is_one_of(STANDARD_LOGY), F.concat(base, F.lit("log")))
-                  .when(is_one_of(STANDARD_UTION), F.concat(base, F.lit("u")))
-                  .when(is_one_of(STANDARD_ENCY), F.concat(base, F.lit("ente")))
-                  .when(suffix == STANDARD_ADVERB, then(base, "ante|able|ible"))
-                  .when(is_one_of(STANDARD_ITY), then(base, "abil|ic|iv"))
-                  .when(is_one_of(STANDARD_IVE), then(base, "at"))
-                  .otherwise(base))
-            .otherwise(w))
-    return _token(word, rv, r2, changed=word != w)
-
-
-def _verb_step(t: Column) -> Column:
-    """Verb endings, only for words the standard-suffix step left alone."""
-    w, rv = t["w"], t["rv"]
-    y_suffix = _suffix(w, Y_VERB)
-    y_base = _cut(w, F.length(y_suffix))
-    y_applies = _inside(w, y_suffix, rv) & y_base.rlike("u$")
-    # Longest suffix over both classes that lies in RV: the region is cut first,
-    # so that a longer suffix reaching out of it does not hide a shorter one.
-    tail = F.substring(w, rv + 1, F.length(w))
-    suffix = _suffix(tail, f"{VERB}|{VERB_AFTER_GU}")
-    base = _cut(w, F.length(suffix))
-    gu_base = F.when(base.rlike("gu$"), _cut(base, F.lit(1))).otherwise(base)
-    word = (F.when(t["changed"], w)
-            .when(y_applies, y_base)
-            .when(suffix == "", w)
-            .when(suffix.isin(*VERB_AFTER_GU.split("|")), gu_base)
+    start = F.when(suffix == STANDARD_AMENTE, t["r1"]).otherwise(r2)
+    word = (F.when(~_inside(w, suffix, start), w)
+            .when(suffix == STANDARD_AMENTE, adverb_base)
+            .when(is_one_of(STANDARD_ATION), then(base, "ic"))
+            .when(is_one_of(STANDARD_LOGY), F.concat(base, F.lit("log")))
+            .when(is_one_of(STANDARD_UTION), F.concat(base, F.lit("u")))
+            .when(is_one_of(STANDARD_ENCY), F.concat(base, F.lit("ente")))
+            .when(suffix == STANDARD_ADVERB, then(base, "ante|able|ible"))
+            .when(is_one_of(STANDARD_ITY), then(base, "abil|ic|iv"))
+            .when(is_one_of(STANDARD_IVE), then(base, "at"))
             .otherwise(base))
-    return _token(word, rv, t["r2"])
-
-
-def _residual_step(t: Column) -> Column:
-    w, rv = t["w"], t["rv"]
-    tail = F.substring(w, rv + 1, F.length(w))
-    plain = _suffix(tail, RESIDUAL)
-    e = _suffix(tail, RESIDUAL_E)
-    e_base = _cut(w, F.length(e))
-    gu = e_base.rlike("gu$") & (F.length(e_base) - 1 >= rv)
-    word = (F.when(plain != "", _cut(w, F.length(plain)))
-            .when((e != "") & gu, _cut(e_base, F.lit(1)))
-            .when(e != "", e_base)
-            .otherwise(w))
-    return F.translate(word, "áéíóú", "aeiou")
+    return _token(t, ("rv",), w=word, before=w)
+
+
+def _find_verb(t: Column) -> Column:
+    """Verb endings that lie wholly in RV, for words the derivational step left alone."""
+    tail = F.substring(t["w"], t["rv"] + 1, F.length(t["w"]))
+    untouched = t["w"] == t["before"]
+    return _token(t, ("w", "rv"),
+                  y=F.when(untouched, _suffix(tail, Y_VERB)).otherwise(""),
+                  verb=F.when(untouched, _suffix(tail, f"{VERB}|{VERB_AFTER_GU}")).otherwise(""))
+
+
+def _drop_verb(t: Column) -> Column:
+    w, verb = t["w"], t["verb"]
+    y_base, base = _cut(w, F.length(t["y"])), _cut(w, F.length(verb))
+    word = (F.when((t["y"] != "") & y_base.endswith("u"), y_base)
+            .when(verb.isin(*VERB_AFTER_GU.split("|")) & base.endswith("gu"), _cut(base, F.lit(1)))
+            .otherwise(base))
+    return _token(t, ("rv",), w=word)
+
+
+def _find_residual(t: Column) -> Column:
+    tail = F.substring(t["w"], t["rv"] + 1, F.length(t["w"]))
+    return _token(t, ("w", "rv"), end=_suffix(tail, f"{RESIDUAL}|{RESIDUAL_E}"))
+
+
+def _drop_residual(t: Column) -> Column:
+    base = _cut(t["w"], F.length(t["end"]))
+    after_gu = t["end"].isin(*RESIDUAL_E.split("|")) & base.endswith("gu") & (F.length(base) - 1 >= t["rv"])
+    return F.translate(F.when(after_gu, _cut(base, F.lit(1))).otherwise(base), "áéíóú", "aeiou")
 
 
 def stem_spanish(tokens: Column) -> Column:
     """The stem of every token of an array, in the same order."""
-    steps = (_regions, _pronoun_step, _standard_suffix_step, _verb_step, _residual_step)
+    steps = (_regions, _find_pronoun, _drop_pronoun, _find_standard, _drop_standard, _find_verb, _drop_verb,
+             _find_residual, _drop_residual)
     for step in steps:
         tokens = F.transform(tokens, step)
     return tokens

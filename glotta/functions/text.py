@@ -18,7 +18,7 @@ SPACE = r"(?U:\s)"
 # same as without it, but a run of n characters costs n steps instead of n^2.
 PIXELS = r"(?<![0-9])[0-9]++px\|?"
 BOX_ASSIGN = rf"(?<!{WORD}){WORD}++{SPACE}?={SPACE}?{WORD}*|\|"
-LONG_WORD = rf"{WORD}{{40,}}"
+LONG_WORD = rf"(?<!{WORD}){WORD}{{40,}}"
 URL = (r"https?://(www\.)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}(?U:\b)"
        r"([-a-zA-Z0-9()@:%_+.~#?&/=]*)")
 WIKI_CATEGORY = r"(?m)(Categoría|Catégorie|Category):.+$"

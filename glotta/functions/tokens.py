@@ -8,6 +8,8 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from glotta.functions.literals import literal_array
+
 # A token is a run of word characters or one other visible character.
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
@@ -34,7 +36,7 @@ def dedupe(tokens: Column) -> Column:
 
 def remove_stopwords(tokens: Column, stopwords: tuple[str, ...] | None = None) -> Column:
     """Drop stop words whatever their case; order and repeats of the rest stay."""
-    words = F.array(*[F.lit(w) for w in (stopwords or spanish_stopwords())])
+    words = literal_array(stopwords or spanish_stopwords())
     return F.filter(tokens, lambda t: ~F.array_contains(words, F.lower(t)))
 
 
@@ -44,6 +46,6 @@ def normalize(text: Column, stopwords: tuple[str, ...] | None = None) -> Column:
     Lower-casing the text before splitting it equals lower-casing each token.
     ``array_except`` removes repeats and stop words in one hashed pass.
     """
-    words = F.array(*[F.lit(w) for w in (stopwords or spanish_stopwords())])
+    words = literal_array(stopwords or spanish_stopwords())
     tokens = F.sort_array(F.array_except(tokenize(F.lower(text)), words))
     return F.when(F.length(text) > 0, tokens)

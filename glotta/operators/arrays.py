@@ -22,22 +22,19 @@ def inline_rows(lookup: DataFrame, bound: int = INLINE_ROWS) -> list[Row] | None
     return rows if len(rows) <= bound else None
 
 
-def literal_map(pairs: dict) -> Column:
-    cells = []
-    for key, value in pairs.items():
-        cells += [F.lit(key), value if isinstance(value, Column) else F.lit(value)]
-    return F.create_map(*cells)
-
-
-def rejoin_tokens(df: DataFrame, keys: list[str], tokens: Column,
-                  lookup: Callable[[DataFrame], DataFrame], value: Column, keep: Column) -> DataFrame:
-    """Explode ``tokens`` to ``(keys, pos, token)``, apply ``lookup``, collect ``value`` where ``keep``.
-
-    Returns ``keys`` and ``_values``, an array in token order. Documents with no
-    kept token have no row. With a broadcast lookup the tokens of a document are
+def rejoin_tokens(df: DataFrame, carried: list[str], tokens: Column,
+                  lookup: Callable[[DataFrame], DataFrame], value: Column) -> DataFrame:
+    """Look tokens up as rows and collect them again: ``carried`` plus ``_values``.
+
+    ``tokens`` is exploded to ``(carried, pos, token)``, ``lookup`` joins its table
+    to those rows (keeping them all), and the non-NULL ``value``s of a document
+    are collected in token order. ``carried`` holds the document key and the
+    narrow columns that go with it. Every document has one row in the result; a
+    NULL array stays NULL. With a broadcast look-up the tokens of a document are
     still together, so they are collected before the shuffle.
     """
-    exploded = df.select(*keys, F.posexplode(tokens).alias("pos", "token"))
-    kept = lookup(exploded).filter(keep)
-    grouped = kept.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", value.alias("v")))).alias("_s"))
-    return grouped.select(*keys, F.col("_s.v").alias("_values"))
+    exploded = df.select(*carried, tokens.isNull().alias("_no_tokens"), F.posexplode_outer(tokens).alias("pos", "token"))
+    kept = F.when(value.isNotNull(), F.struct("pos", value.alias("v")))
+    grouped = lookup(exploded).groupBy(*carried).agg(
+        F.sort_array(F.collect_list(kept)).alias("_s"), F.max("_no_tokens").alias("_no_tokens"))
+    return grouped.select(*carried, F.when(~F.col("_no_tokens"), F.col("_s.v")).alias("_values"))

@@ -22,6 +22,9 @@ TREE_STEP = 1.0
 TREE_ROUNDS = 20
 TEST_SHARE = 0.1
 
+SOFTMAX_ITERATIONS = 50
+SOFTMAX_PENALTY = 1e-4
+
 
 def class_indexer(df: DataFrame, label: str = "context", out: str = "context_categorical"):
     """A fitted label encoder: codes follow the sorted labels."""
@@ -66,7 +69,8 @@ def train_classifier(train: DataFrame, label: str = "context", vectors: str = "d
     prepared = prepared.persist()
     try:
         if method == "softmax":
-            estimator = LogisticRegression(family="multinomial", maxIter=rounds or 100, regParam=1e-6)
+            estimator = LogisticRegression(family="multinomial", maxIter=rounds or SOFTMAX_ITERATIONS,
+                                           regParam=SOFTMAX_PENALTY)
         elif method == "trees":
             estimator = OneVsRest(classifier=GBTClassifier(
                 maxDepth=TREE_DEPTH, maxIter=rounds or TREE_ROUNDS, stepSize=TREE_STEP, seed=seed))

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from glotta.functions import tokens as fx
 from glotta.functions.lexicons import spanish_pos_lexicon
+from glotta.functions.literals import literal_array, literal_map
 from glotta.functions.stemming import stem_spanish
 from glotta.functions.tagging import rule_lemma, rule_pos
-from glotta.operators.arrays import inline_rows, literal_map, rejoin_tokens
+from glotta.operators.arrays import inline_rows, rejoin_tokens
 from glotta.operators.joins import MAX_BROADCAST_ROWS, lookup_join
+from glotta.operators.once import filter_computed
 
 ALLOWED_POS = ("NOUN", "ADJ")
 
@@ -22,7 +24,7 @@ def normalize_documents(df: DataFrame, text: str = "translated_text", out: str =
 
 def nonempty_normalized(df: DataFrame, tokens: str = "normalized_text") -> DataFrame:
     """Keep documents that have at least one token."""
-    return df.filter(F.coalesce(F.size(tokens), F.lit(0)) > 0)
+    return filter_computed(df, tokens, lambda t: F.size(t) > 0)
 
 
 def keep_in_vocabulary(df: DataFrame, vocabulary: DataFrame | None, keys: list[str], tokens: str = "normalized_text",
@@ -30,73 +32,66 @@ def keep_in_vocabulary(df: DataFrame, vocabulary: DataFrame | None, keys: list[s
     """Keep the tokens whose lower-cased form is in ``vocabulary(word)``, in their order.
 
     No vocabulary (``None``) means no filter; an empty one filters everything
-    out. Documents stay even when no token is left.
+    out. Documents stay even when no token is left. The other columns of ``df``
+    are carried along; keep them narrow.
     """
     if vocabulary is None:
         return df
     rows = inline_rows(vocabulary)
     if rows is not None:
-        allowed = F.array(*[F.lit(r["word"]) for r in rows]).cast("array<string>")
+        allowed = literal_array(r["word"] for r in rows)
         return df.withColumn(tokens, F.filter(tokens, lambda t: F.array_contains(allowed, F.lower(t))))
 
-    words = vocabulary.select(F.col("word").alias("_word")).distinct()
+    words = vocabulary.select(F.col("word").alias("_word"), F.lit(True).alias("_known")).distinct()
 
     def look_up(exploded: DataFrame) -> DataFrame:
         with_word = exploded.withColumn("_word", F.lower("token"))
-        return lookup_join(with_word, words, "_word", "left_semi", F.struct(*keys), max_broadcast_rows)
+        return lookup_join(with_word, words, "_word", "left", F.struct(*keys), max_broadcast_rows)
 
-    kept = rejoin_tokens(df, keys, F.col(tokens), look_up, F.col("token"), F.lit(True))
-    filtered = F.coalesce(F.col("_values"), F.array().cast("array<string>"))
-    return (df.join(kept, keys, "left")
-            .withColumn(tokens, F.when(F.col(tokens).isNotNull(), filtered))
-            .drop("_values"))
+    carried = [c for c in df.columns if c != tokens]
+    kept = rejoin_tokens(df, carried, F.col(tokens), look_up, F.when(F.col("_known"), F.col("token")))
+    return kept.withColumnRenamed("_values", tokens)
 
 
 def lemmatize_pos_filter(df: DataFrame, keys: list[str], lexicon: DataFrame | None = None,
                          tokens: str = "normalized_text", out: str = "lemmatized_text",
                          allowed: tuple[str, ...] = ALLOWED_POS,
                          max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Append the lemmas of the tokens whose class is allowed, in token order.
+    """Replace the tokens by the lemmas of those whose class is allowed, in token order.
 
     The class and lemma come from ``lexicon(form, lemma, pos)`` with unique
     forms; a form it does not hold is tagged by its ending.
     """
     lexicon = lexicon if lexicon is not None else spanish_pos_lexicon(df.sparkSession)
 
-    def tagged(token: Column, lemma: Column, pos: Column) -> tuple[Column, Column]:
-        pos = F.coalesce(pos, rule_pos(token))
-        return F.coalesce(lemma, rule_lemma(token, pos)), pos
-
     rows = inline_rows(lexicon)
     if rows is not None:
-        entries = literal_map({r["form"]: F.struct(F.lit(r["lemma"]).alias("lemma"), F.lit(r["pos"]).alias("pos"))
-                               for r in rows}) if rows else None
+        known_lemmas = literal_map({r["form"]: r["lemma"] for r in rows})
+        known_pos = literal_map({r["form"]: r["pos"] for r in rows})
 
         def tag(token: Column) -> Column:
-            entry = F.element_at(entries, token) if entries is not None else None
-            lemma = entry["lemma"] if entry is not None else F.lit(None).cast("string")
-            pos = entry["pos"] if entry is not None else F.lit(None).cast("string")
-            return F.struct(token.alias("token"), lemma.alias("lemma"), F.coalesce(pos, rule_pos(token)).alias("pos"))
+            pos = F.coalesce(F.element_at(known_pos, token), rule_pos(token))
+            return F.struct(token.alias("token"), pos.alias("pos"))
 
         kept = F.filter(F.transform(tokens, tag), lambda t: t["pos"].isin(*allowed))
-        lemmas = F.transform(kept, lambda t: F.coalesce(t["lemma"], rule_lemma(t["token"], t["pos"])))
-        return df.withColumn(out, lemmas)
+        lemmas = F.transform(kept, lambda t: F.coalesce(F.element_at(known_lemmas, t["token"]),
+                                                        rule_lemma(t["token"], t["pos"])))
+        return df.select(*[c for c in df.columns if c != tokens], lemmas.alias(out))
 
     def look_up(exploded: DataFrame) -> DataFrame:
-        forms = lexicon.select(F.col("form").alias("token"), "lemma", "pos")
+        forms = lexicon.select(F.col("form").alias("token"), "lemma", F.col("pos").alias("pos_"))
         return lookup_join(exploded, forms, "token", "left", F.struct(*keys), max_broadcast_rows)
 
-    lemma, pos = tagged(F.col("token"), F.col("lemma"), F.col("pos"))
-    kept = rejoin_tokens(df, keys, F.col(tokens), look_up, lemma, pos.isin(*allowed))
-    lemmas = F.coalesce(F.col("_values"), F.array().cast("array<string>"))
-    return (df.join(kept, keys, "left")
-            .withColumn(out, F.when(F.col(tokens).isNotNull(), lemmas))
-            .drop("_values"))
+    pos = F.coalesce(F.col("pos_"), rule_pos(F.col("token")))
+    lemma = F.coalesce(F.col("lemma"), rule_lemma(F.col("token"), pos))
+    carried = [c for c in df.columns if c != tokens]
+    return rejoin_tokens(df, carried, F.col(tokens), look_up, F.when(pos.isin(*allowed), lemma)).withColumnRenamed(
+        "_values", out)
 
 
 def nonempty_lemmas(df: DataFrame, lemmas: str = "lemmatized_text") -> DataFrame:
     """Keep documents that have at least one lemma."""
-    return df.filter(F.coalesce(F.size(lemmas), F.lit(0)) > 0)
+    return filter_computed(df, lemmas, lambda t: F.size(t) > 0)
 
 
 def stem_documents(df: DataFrame, tokens: str = "lemmatized_text", out: str = "stemmed_text") -> DataFrame:

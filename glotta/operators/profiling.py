@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glotta.operators.once import explode_tokens
+
 
 def count_documents(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
@@ -22,7 +24,8 @@ def missing_translation_counts(df: DataFrame, translated: str = "translated_text
 
 def word_frequencies(df: DataFrame, tokens: str = "normalized_text") -> DataFrame:
     """``(word, n)`` over all documents. Normalised tokens are distinct, so ``n`` counts documents."""
-    return df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = explode_tokens(df, [], tokens, "word")
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_frequencies_top(df: DataFrame, n: int, tokens: str = "normalized_text") -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glotta import SEED
+from glotta.operators.once import explode_tokens
 from glotta.operators.ranking import hash_rank
 from glotta.operators.vectors import to_features
+from glotta.scratch import materialize
 
 # Topic-model settings.
 NUM_TOPICS = 10
@@ -68,9 +70,13 @@ def nearest_words(word_vectors: DataFrame, centers: dict[int, list[float]],
 
 
 def build_dictionary(df: DataFrame, tokens: str = "lemmatized_text") -> DataFrame:
-    """``(token, token_id, doc_freq)`` for every distinct token; ids are 0..n-1 in token-hash order."""
-    freq = (df.select(F.explode(F.array_distinct(tokens)).alias("token"))
-            .groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq")))
+    """``(token, token_id, doc_freq)`` for every distinct token; ids are 0..n-1 in token-hash order.
+
+    The counts are written once: ranking reads them twice.
+    """
+    distinct = df.select(F.array_distinct(tokens).alias("_distinct"))
+    freq = explode_tokens(distinct, [], "_distinct").groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
+    freq = materialize(freq, "dictionary")
     ranked = hash_rank(freq, ["token"], SEED, out="token_id")
     return ranked.select("token", (F.col("token_id") - 1).alias("token_id"), "doc_freq")
 
@@ -83,13 +89,12 @@ def filter_extremes(dictionary: DataFrame, n_documents: int, no_below: int = NO_
 
 def bag_of_words(df: DataFrame, keys: list[str], tokens: str = "lemmatized_text") -> DataFrame:
     """``(keys, token, n)``: how often each document holds each token."""
-    return df.select(*keys, F.explode(tokens).alias("token")).groupBy(*keys, "token").agg(
-        F.count(F.lit(1)).alias("n"))
+    return explode_tokens(df, keys, tokens).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def corpus_stats(df: DataFrame, tokens: str = "lemmatized_text") -> DataFrame:
     """``(stat, value)``: number of distinct tokens and number of documents."""
-    distinct = df.select(F.explode(tokens).alias("token")).distinct().agg(
+    distinct = explode_tokens(df, [], tokens).distinct().agg(
         F.lit("unique_tokens").alias("stat"), F.count(F.lit(1)).alias("value"))
     documents = df.agg(F.lit("documents").alias("stat"), F.count(F.lit(1)).alias("value"))
     return distinct.unionByName(documents)

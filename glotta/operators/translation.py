@@ -12,10 +12,13 @@ from pyspark.sql.types import StringType
 from glotta import SEED
 from glotta.functions.lexicons import (ENGLISH, ENGLISH_TARGET_PREFIX, TARGET_LANGUAGE, supported_languages,
                                        translation_lexicon)
+from glotta.functions.literals import literal_map
 from glotta.functions.text import WORD
-from glotta.operators.arrays import inline_rows, literal_map, rejoin_tokens
+from glotta.operators.cleaning import nonempty_cleaned
+from glotta.operators.arrays import inline_rows, rejoin_tokens
 from glotta.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from glotta.operators.ranking import hash_rank
+from glotta.scratch import materialize
 
 BATCH_SIZE = 15
 CORPUS_LANGUAGES = ("fr", "en", "es")
@@ -51,9 +54,10 @@ def translation_batches(df: DataFrame, keys: list[str], language: str = "languag
     Returns ``keys, language, batch, batch_rows, is_short``. ``offset`` and
     ``limit`` bound the document numbers of each language exactly, so a run can
     be resumed. The order is that of a hash of the key: fixed for a given corpus,
-    and rankable without putting a whole language into one task.
+    and rankable without putting a whole language into one task. The keys of the
+    non-empty documents are written once, so the text is read and cleaned once.
     """
-    rows = df.filter(F.length(text) > 0).select(*keys, language)
+    rows = materialize(nonempty_cleaned(df, text).select(*keys, language), "translation-rows")
     ranked = hash_rank(rows, keys, SEED, within=[language], out="_rank").withColumn("_rank", F.col("_rank") - 1)
     ranked = ranked.filter(F.col("_rank") >= offset)
     if limit is not None:
@@ -78,10 +82,12 @@ def _replacer(words: Column) -> Callable[[Column], Column]:
 def lexicon_translate(df: DataFrame, keys: list[str], lexicon: DataFrame | None = None, text: str = "cleaned_text",
                       language: str = "language", out: str = "translated_text",
                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Append ``out``: every word found in the lexicon of its language is replaced.
+    """Replace ``text`` by ``out``: every word found in the lexicon of its language is replaced.
 
     Look-up ignores case; other words and everything between words stay as they
     are. ``lexicon`` is ``(lang, token, es_token)`` with unique ``(lang, token)``.
+    The other columns of ``df`` stay; keep them narrow, they travel with each word
+    when the lexicon is too large to be written into the plan.
     """
     lexicon = lexicon if lexicon is not None else translation_lexicon(df.sparkSession)
     rows = inline_rows(lexicon)
@@ -93,7 +99,7 @@ def lexicon_translate(df: DataFrame, keys: list[str], lexicon: DataFrame | None
         for lang, words in by_language.items():
             replaced = F.transform(_with_pieces(text), _replacer(literal_map(words)))
             translated = F.when(F.col(language) == lang, F.array_join(replaced, "")).otherwise(translated)
-        return df.withColumn(out, translated)
+        return df.select(*[c for c in df.columns if c != text], translated.alias(out))
 
     words = lexicon.select(F.col("lang").alias(language), F.col("token").alias("_word"), "es_token")
 
@@ -101,27 +107,28 @@ def lexicon_translate(df: DataFrame, keys: list[str], lexicon: DataFrame | None
         with_word = exploded.withColumn("_word", F.lower("token"))
         return lookup_join(with_word, words, [language, "_word"], "left", F.struct(*keys), max_broadcast_rows)
 
-    group = list(dict.fromkeys(keys + [language]))
-    pieces = rejoin_tokens(df, group, _with_pieces(text), look_up,
-                           F.coalesce(F.col("es_token"), F.col("token")), F.lit(True))
-    joined = pieces.select(*keys, F.array_join("_values", "").alias(out))
-    return df.join(joined, keys, "left").withColumn(out, F.coalesce(F.col(out), F.col(text)))
+    carried = [c for c in df.columns if c != text]
+    pieces = rejoin_tokens(df, carried, _with_pieces(text), look_up, F.coalesce(F.col("es_token"), F.col("token")))
+    return pieces.select(*carried, F.array_join("_values", "").alias(out))
 
 
 def translate(df: DataFrame, keys: list[str], language: str, lexicon: DataFrame | None = None,
               text: str = "cleaned_text", out: str = "translated_text") -> DataFrame:
-    """Route by ``language`` and translate: Spanish stays whole, unsupported becomes NULL."""
-    routed = route_translation(df, language)
-    translated = lexicon_translate(routed, keys, lexicon, text, language, "_translated")
-    value = (F.when(F.col("route") == "identity", F.col(text))
-             .when(F.col("route").isin("english", "generic"), F.col("_translated")))
-    return translated.withColumn(out, value).drop("_translated", "model_name")
+    """Route by ``language`` and replace ``text`` by its translation ``out``.
+
+    Spanish stays whole and unsupported languages become NULL.
+    """
+    routed = route_translation(df, language).drop("model_name")
+    lexicon = (lexicon if lexicon is not None else translation_lexicon(df.sparkSession)).filter(
+        F.col("lang") != TARGET_LANGUAGE)
+    translated = lexicon_translate(routed, keys, lexicon, text, language, out)
+    return translated.withColumn(out, F.when(F.col("route") != "unsupported", F.col(out)))
 
 
 def translate_corpus(df: DataFrame, keys: list[str], lexicon: DataFrame | None = None,
                      text: str = "cleaned_text", language: str = "language") -> DataFrame:
     """Translate the non-empty French, English and Spanish documents by their known language."""
-    chosen = df.filter(F.col(language).isin(*CORPUS_LANGUAGES)).filter(F.length(text) > 0)
+    chosen = nonempty_cleaned(df.filter(F.col(language).isin(*CORPUS_LANGUAGES)), text)
     return translate(chosen, keys, language, lexicon, text).drop("route")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glotta.operators.joins import MAX_BROADCAST_BYTES, has_at_most, lookup_join
 from glotta.operators.normalization import keep_in_vocabulary
+from glotta.operators.once import explode_tokens
 
 
 def broadcastable(word_vectors: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -32,7 +33,7 @@ def document_to_vector(df: DataFrame, word_vectors: DataFrame, keys: list[str],
     task that read it and only one partial mean per document is shuffled. A
     larger table is joined on ``(word, salt)``.
     """
-    exploded = df.select(*keys, F.explode(tokens).alias("_token")).withColumn("word", F.lower("_token")).drop("_token")
+    exploded = explode_tokens(df, keys, tokens, "_token").select(*keys, F.lower("_token").alias("word"))
     vectors = word_vectors.select("word", array_to_vector(F.col("embedding")).alias("_v"))
     joined = lookup_join(exploded, vectors, "word", "inner", F.struct(*keys),
                          small=broadcastable(word_vectors, max_broadcast_bytes))

@@ -91,7 +91,7 @@ def score_documents(df: DataFrame, keys: list[str], profiles: LanguageProfiles,
 
 def lemmatized_corpus(df: DataFrame, keys: list[str], lexicon: DataFrame | None = None,
                       text: str = "translated_text", stems: bool = False) -> DataFrame:
-    """``keys, normalized_text, lemmatized_text`` (and ``stemmed_text``) of documents with a lemma left."""
+    """``keys, lemmatized_text`` (and ``stemmed_text``) of documents with a lemma left."""
     normalized = normalize_documents(df.select(*keys, text), text).drop(text)
     lemmas = nonempty_lemmas(lemmatize_pos_filter(normalized, keys, lexicon))
     return stem_documents(lemmas) if stems else lemmas

@@ -18,6 +18,7 @@ from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, support
 from glotta.operators import classification, cleaning, language, normalization, profiling, topics, translation, vectors
 from glotta.operators.evaluation import classification_report
 from glotta.operators.joins import spread
+from glotta.operators.once import explode_tokens
 from glotta.plans import pipelines
 from glotta.scratch import materialize, new_path
 from glotta.sources import corpus as corpus_source
@@ -517,8 +518,8 @@ def describe_topics(spark, sf_dir):
 
 def language_word_weights(spark, sf_dir) -> DataFrame:
     """Each language as a topic; a word weighs the number of its documents that hold it."""
-    words = normalized(spark, sf_dir).select(F.col("language").alias("topic"),
-                                             F.explode("normalized_text").alias("word"))
+    docs = normalized(spark, sf_dir).withColumnRenamed("language", "topic")
+    words = explode_tokens(docs, ["topic"], "normalized_text", "word")
     return words.groupBy("topic", "word").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
