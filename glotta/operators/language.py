@@ -33,6 +33,8 @@ class LanguageProfiles:
 
     def as_rows(self) -> DataFrame:
         """The profiles as ``(language, gram, score)``."""
+        if not self.languages:
+            return self.table.sparkSession.createDataFrame([], "language string, gram string, score bigint")
         cells = [F.struct(F.lit(lang).alias("language"), F.col(_column(i)).alias("score"))
                  for i, lang in enumerate(self.languages)]
         return self.table.select("gram", F.explode(F.array(*cells)).alias("c")).select("c.language", "gram", "c.score")
@@ -54,6 +56,8 @@ def fit_language_profiles(df: DataFrame, text: str = "cleaned_text", language: s
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} distinct values in {language!r}: not a language column")
     languages = sorted(r[0] for r in found)
+    if not languages:
+        return LanguageProfiles(df.sparkSession.createDataFrame([], "gram string"), [], {}, 0)
     grams = known.select(F.col(language).alias("_l"), F.explode(char_trigrams(F.col(text))).alias("gram"))
     per_language = [F.sum(F.when(F.col("_l") == lang, F.col("n")).otherwise(0)).alias(_column(i))
                     for i, lang in enumerate(languages)]
@@ -70,7 +74,7 @@ def fit_language_profiles(df: DataFrame, text: str = "cleaned_text", language: s
 
     table = counts.select("gram", *[score(F.col(_column(i)), i).alias(_column(i)) for i in range(len(languages))])
     unseen = {}
-    if languages and size:
+    if size:
         row = df.sparkSession.range(1).select(
             *[score(F.lit(0), i).alias(_column(i)) for i in range(len(languages))]).first()
         unseen = {lang: row[_column(i)] for i, lang in enumerate(languages)}
