@@ -22,7 +22,11 @@ def _path_part(position: int) -> Column:
 
 
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
-    """``<root>/<context>/<language>/<docname>`` files as one row each, text stripped at both ends."""
+    """``<root>/<context>/<language>/<docname>`` files as one row each, text stripped at both ends.
+
+    Spark's file listing leaves out files of zero bytes; one with only white
+    space has an empty text.
+    """
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
     return files.select(_path_part(-3).alias("context"), _path_part(-2).alias("language"),
                         _path_part(-1).alias("docname"), strip_ends(F.col("value")).alias("text"))

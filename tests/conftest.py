@@ -12,7 +12,8 @@ from glotta.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session("local[8]", shuffle_partitions=8)
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     return session
 
 
