@@ -1,15 +1,14 @@
-"""The published Snowball stemming rules for Spanish as array expressions.
+"""The published Snowball stemming rules for Spanish as SQL expressions.
 
-Each step is one ``transform`` over the token array, so stemming needs no join,
-no shuffle and no Python worker. A token travels as a struct of the word and the
-0-based offsets of its regions RV, R1 and R2; what one step finds is stored in
-the struct, so the next step reads it instead of computing it again.
+Stemming needs no Python worker. A word travels with the 0-based offsets of its
+regions RV, R1 and R2; what one step finds is a column that the next step reads.
+The expressions are SQL text because they are large: building them one Column
+call at a time costs more than running them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Suffix classes of the published algorithm.
 PRONOUNS = "me|se|sela|selo|selas|selos|la|le|lo|las|les|los|nos"
@@ -38,135 +37,107 @@ RESIDUAL_E = "e|é"
 VOWEL = "aeiouáéíóúü"
 
 
-def _suffix(word: Column, alternatives: str) -> Column:
+def _in(word: str, endings: list[str]) -> str:
+    return f"{word} in ({', '.join(repr(e) for e in endings)})"
+
+
+def _suffix(word: str, alternatives: str) -> str:
     """The longest of the ``|``-separated endings that ``word`` has, or the empty string.
 
     One hashed set look-up per ending length, longest first: much cheaper per
-    token than a regex that tries a hundred alternatives at every position.
+    word than a regex that tries a hundred alternatives at every position.
     """
     by_length: dict[int, list[str]] = {}
     for ending in alternatives.split("|"):
         by_length.setdefault(len(ending), []).append(ending)
-    tails = [(F.substring(word, -n, n), by_length[n]) for n in sorted(by_length, reverse=True)]
-    return F.coalesce(*[F.when(tail.isin(*endings), tail) for tail, endings in tails], F.lit(""))
-
-
-def _cut(word: Column, n: Column) -> Column:
-    return F.substring(word, F.lit(1), F.length(word) - n)
+    tails = [(f"substring({word}, -{n}, {n})", by_length[n]) for n in sorted(by_length, reverse=True)]
+    cases = " ".join(f"when {_in(tail, endings)} then {tail}" for tail, endings in tails)
+    return f"case {cases} else '' end"
 
 
-def _inside(word: Column, suffix: Column, start: Column) -> Column:
-    """The suffix was found and lies wholly in the region beginning at ``start``."""
-    return (suffix != "") & (F.length(word) - F.length(suffix) >= start)
+def _cut(word: str, n: str) -> str:
+    return f"substring({word}, 1, length({word}) - {n})"
 
 
-def _token(t: Column, carry: tuple[str, ...], **fields: Column) -> Column:
-    """The next state of a token: some fields carried over, some new."""
-    return F.struct(*[t[name].alias(name) for name in carry], *[c.alias(name) for name, c in fields.items()])
+def _without(word: str, more: str) -> str:
+    """``word`` without one further ending, if that lies in R2."""
+    ending = f"({_suffix(word, more)})"
+    inside = f"{ending} <> '' and length({word}) - length({ending}) >= r2"
+    return f"case when {inside} then {_cut(word, f'length({ending})')} else {word} end"
 
 
-def _regions(word: Column) -> Column:
-    """R1 and R2 start after the first and second vowel + consonant, RV after one of three shapes.
-
-    A region whose shape is not in the word starts at the word's end.
-    """
+def _region_columns() -> dict[str, str]:
+    """R1 and R2 start after the first and second vowel + consonant, RV after one of three shapes."""
     v, c = f"[{VOWEL}]", f"[^{VOWEL}]"
-    n = F.length(word)
     twice = f"^({c}*{v}+{c})({c}*{v}+{c})?"
-    first = F.length(F.regexp_extract(word, twice, 1))
-    both = F.length(F.regexp_extract(word, twice, 0))
-    rv = F.length(F.regexp_extract(word, f"^(?:.{c}+{v}|{v}{v}+{c}|{c}{v}.)", 0))
-    return F.struct(word.alias("w"), F.when(rv > 0, rv).otherwise(n).alias("rv"),
-                    F.when(first > 0, first).otherwise(n).alias("r1"),
-                    F.when(both > first, both).otherwise(n).alias("r2"))
-
-
-def _find_pronoun(t: Column) -> Column:
-    return _token(t, ("w", "rv", "r1", "r2"), pronoun=_suffix(t["w"], PRONOUNS))
-
-
-def _drop_pronoun(t: Column) -> Column:
-    """An attached pronoun goes when it follows a gerund or infinitive in RV."""
-    w, rv, pronoun = t["w"], t["rv"], t["pronoun"]
-    base = _cut(w, F.length(pronoun))
-    accented = _suffix(base, GERUND_OR_INFINITIVE_ACCENTED)
-    plain = _suffix(base, GERUND_OR_INFINITIVE)
-    unaccented = F.concat(_cut(base, F.length(accented)), F.translate(accented, "áéí", "aei"))
-    word = (F.when(pronoun == "", w)
-            .when(_inside(base, accented, rv), unaccented)
-            .when(_inside(base, plain, rv), base)
-            .when(base.endswith("uyendo") & (F.length(base) - 5 >= rv), base)
-            .otherwise(w))
-    return _token(t, ("rv", "r1", "r2"), w=word)
-
-
-def _find_standard(t: Column) -> Column:
-    classes = [STANDARD_DELETE, STANDARD_ATION, STANDARD_LOGY, STANDARD_UTION, STANDARD_ENCY, STANDARD_AMENTE,
-               STANDARD_ADVERB, STANDARD_ITY, STANDARD_IVE]
-    return _token(t, ("w", "rv", "r1", "r2"), suffix=_suffix(t["w"], "|".join(classes)))
-
-
-def _drop_standard(t: Column) -> Column:
-    """Derivational endings in R2 (``amente`` in R1), then one more ending before some of them."""
-    w, r2, suffix = t["w"], t["r2"], t["suffix"]
-    base = _cut(w, F.length(suffix))
-
-    def then(word: Column, more: str) -> Column:
-        extra = _suffix(word, more)
-        return F.when(_inside(word, extra, r2), _cut(word, F.length(extra))).otherwise(word)
-
-    def is_one_of(alternatives: str) -> Column:
-        return suffix.isin(*alternatives.split("|"))
-
-    adverb_base = (F.when(base.endswith("iv") & (F.length(base) - 2 >= r2), then(_cut(base, F.lit(2)), "at"))
-                   .otherwise(then(base, "os|ic|ad")))
-    start = F.when(suffix == STANDARD_AMENTE, t["r1"]).otherwise(r2)
-    word = (F.when(~_inside(w, suffix, start), w)
-            .when(suffix == STANDARD_AMENTE, adverb_base)
-            .when(is_one_of(STANDARD_ATION), then(base, "ic"))
-            .when(is_one_of(STANDARD_LOGY), F.concat(base, F.lit("log")))
-            .when(is_one_of(STANDARD_UTION), F.concat(base, F.lit("u")))
-            .when(is_one_of(STANDARD_ENCY), F.concat(base, F.lit("ente")))
-            .when(suffix == STANDARD_ADVERB, then(base, "ante|able|ible"))
-            .when(is_one_of(STANDARD_ITY), then(base, "abil|ic|iv"))
-            .when(is_one_of(STANDARD_IVE), then(base, "at"))
-            .otherwise(base))
-    return _token(t, ("rv",), w=word, before=w)
-
-
-def _find_verb(t: Column) -> Column:
-    """Verb endings that lie wholly in RV, for words the derivational step left alone."""
-    tail = F.substring(t["w"], t["rv"] + 1, F.length(t["w"]))
-    untouched = t["w"] == t["before"]
-    return _token(t, ("w", "rv"),
-                  y=F.when(untouched, _suffix(tail, Y_VERB)).otherwise(""),
-                  verb=F.when(untouched, _suffix(tail, f"{VERB}|{VERB_AFTER_GU}")).otherwise(""))
-
-
-def _drop_verb(t: Column) -> Column:
-    w, verb = t["w"], t["verb"]
-    y_base, base = _cut(w, F.length(t["y"])), _cut(w, F.length(verb))
-    word = (F.when((t["y"] != "") & y_base.endswith("u"), y_base)
-            .when(verb.isin(*VERB_AFTER_GU.split("|")) & base.endswith("gu"), _cut(base, F.lit(1)))
-            .otherwise(base))
-    return _token(t, ("rv",), w=word)
-
-
-def _find_residual(t: Column) -> Column:
-    tail = F.substring(t["w"], t["rv"] + 1, F.length(t["w"]))
-    return _token(t, ("w", "rv"), end=_suffix(tail, f"{RESIDUAL}|{RESIDUAL_E}"))
-
-
-def _drop_residual(t: Column) -> Column:
-    base = _cut(t["w"], F.length(t["end"]))
-    after_gu = t["end"].isin(*RESIDUAL_E.split("|")) & base.endswith("gu") & (F.length(base) - 1 >= t["rv"])
-    return F.translate(F.when(after_gu, _cut(base, F.lit(1))).otherwise(base), "áéíóú", "aeiou")
-
-
-def stem_spanish(tokens: Column) -> Column:
-    """The stem of every token of an array, in the same order."""
-    steps = (_regions, _find_pronoun, _drop_pronoun, _find_standard, _drop_standard, _find_verb, _drop_verb,
-             _find_residual, _drop_residual)
-    for step in steps:
-        tokens = F.transform(tokens, step)
-    return tokens
+    return {
+        "w": "w",
+        "a": f"length(regexp_extract(w, '{twice}', 1))",
+        "b": f"length(regexp_extract(w, '{twice}', 0))",
+        "v": f"length(regexp_extract(w, '^(?:.{c}+{v}|{v}{v}+{c}|{c}{v}.)', 0))",
+    }
+
+
+def _or_end(found: str) -> str:
+    """A region whose shape is not in the word starts at the word's end."""
+    return f"if({found}, length(w))"
+
+
+STANDARD = "|".join([STANDARD_DELETE, STANDARD_ATION, STANDARD_LOGY, STANDARD_UTION, STANDARD_ENCY, STANDARD_AMENTE,
+                     STANDARD_ADVERB, STANDARD_ITY, STANDARD_IVE])
+
+# Each step lists its columns; it reads the columns of the step before.
+STEPS: list[dict[str, str]] = [
+    _region_columns(),
+    {"w": "w", "rv": _or_end("v > 0, v"), "r1": _or_end("a > 0, a"), "r2": _or_end("b > a, b"),
+     "pronoun": _suffix("w", PRONOUNS)},
+    # An attached pronoun goes when it follows a gerund or infinitive in RV.
+    {"w": "w", "rv": "rv", "r1": "r1", "r2": "r2", "pronoun": "pronoun", "base": _cut("w", "length(pronoun)")},
+    {"w": "w", "rv": "rv", "r1": "r1", "r2": "r2", "pronoun": "pronoun", "base": "base",
+     "accented": _suffix("base", GERUND_OR_INFINITIVE_ACCENTED), "plain": _suffix("base", GERUND_OR_INFINITIVE)},
+    {"rv": "rv", "r1": "r1", "r2": "r2",
+     "w": "case when pronoun = '' then w "
+          "when accented <> '' and length(base) - length(accented) >= rv then "
+          f"concat({_cut('base', 'length(accented)')}, translate(accented, 'áéí', 'aei')) "
+          "when plain <> '' and length(base) - length(plain) >= rv then base "
+          "when endswith(base, 'uyendo') and length(base) - 5 >= rv then base else w end"},
+    # Derivational endings in R2 (`amente` in R1), then one more ending before some of them.
+    {"w": "w", "rv": "rv", "r1": "r1", "r2": "r2", "suffix": _suffix("w", STANDARD)},
+    {"w": "w", "rv": "rv", "r1": "r1", "r2": "r2", "suffix": "suffix", "base": _cut("w", "length(suffix)")},
+    {"before": "w", "rv": "rv",
+     "w": "case when suffix = '' or length(base) < if(suffix = 'amente', r1, r2) then w "
+          "when suffix = 'amente' and endswith(base, 'iv') and length(base) - 2 >= r2 "
+          f"then {_without(_cut('base', '2'), 'at')} "
+          f"when suffix = 'amente' then {_without('base', 'os|ic|ad')} "
+          f"when {_in('suffix', STANDARD_ATION.split('|'))} then {_without('base', 'ic')} "
+          f"when {_in('suffix', STANDARD_LOGY.split('|'))} then concat(base, 'log') "
+          f"when {_in('suffix', STANDARD_UTION.split('|'))} then concat(base, 'u') "
+          f"when {_in('suffix', STANDARD_ENCY.split('|'))} then concat(base, 'ente') "
+          f"when suffix = 'mente' then {_without('base', 'ante|able|ible')} "
+          f"when {_in('suffix', STANDARD_ITY.split('|'))} then {_without('base', 'abil|ic|iv')} "
+          f"when {_in('suffix', STANDARD_IVE.split('|'))} then {_without('base', 'at')} else base end"},
+    # Verb endings that lie wholly in RV, for words the derivational step left alone.
+    {"w": "w", "rv": "rv", "tail": "if(w = before, substring(w, rv + 1), '')"},
+    {"w": "w", "rv": "rv", "y": _suffix("tail", Y_VERB), "verb": _suffix("tail", f"{VERB}|{VERB_AFTER_GU}")},
+    {"rv": "rv",
+     "w": f"case when y <> '' and endswith({_cut('w', 'length(y)')}, 'u') then {_cut('w', 'length(y)')} "
+          f"when {_in('verb', VERB_AFTER_GU.split('|'))} and endswith({_cut('w', 'length(verb)')}, 'gu') "
+          f"then {_cut('w', 'length(verb) - 1')} else {_cut('w', 'length(verb)')} end"},
+    # The residual vowel, and the accents.
+    {"w": "w", "rv": "rv", "tail": "substring(w, rv + 1)"},
+    {"w": "w", "rv": "rv", "end": _suffix("tail", f"{RESIDUAL}|{RESIDUAL_E}")},
+    {"w": f"translate(case when {_in('end', RESIDUAL_E.split('|'))} and endswith({_cut('w', '1')}, 'gu') "
+          f"and length(w) - 2 >= rv then {_cut('w', '2')} else {_cut('w', 'length(end)')} end, 'áéíóú', 'aeiou')"},
+]
+
+
+def stem_words(df: DataFrame, word: str, out: str = "stem") -> DataFrame:
+    """Append the stem of a word column, one projection per step.
+
+    The columns of ``df`` must not have the names the steps use.
+    """
+    kept = [f"`{c}`" for c in df.columns]
+    current = df.selectExpr(*kept, f"`{word}` as w")
+    for step in STEPS:
+        current = current.selectExpr(*kept, *[f"{sql} as `{name}`" for name, sql in step.items()])
+    return current.withColumnRenamed("w", out)

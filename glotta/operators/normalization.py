@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from glotta.functions import tokens as fx
 from glotta.functions.lexicons import spanish_pos_lexicon
 from glotta.functions.literals import literal_array, literal_map
-from glotta.functions.stemming import stem_spanish
+from glotta.functions.stemming import stem_words
 from glotta.functions.tagging import rule_lemma, rule_pos
 from glotta.operators.arrays import inline_rows, rejoin_tokens
-from glotta.operators.joins import MAX_BROADCAST_ROWS, lookup_join
-from glotta.operators.once import filter_computed
+from glotta.operators.joins import MAX_BROADCAST_ROWS, has_at_most, lookup_join
+from glotta.operators.once import explode_tokens, filter_computed
+from glotta.scratch import materialize
 
 ALLOWED_POS = ("NOUN", "ADJ")
 
@@ -94,6 +95,22 @@ def nonempty_lemmas(df: DataFrame, lemmas: str = "lemmatized_text") -> DataFrame
     return filter_computed(df, lemmas, lambda t: F.size(t) > 0)
 
 
-def stem_documents(df: DataFrame, tokens: str = "lemmatized_text", out: str = "stemmed_text") -> DataFrame:
-    """Append the stem of every token. Row by row in the JVM: no join, no shuffle."""
-    return df.withColumn(out, stem_spanish(F.col(tokens)))
+def stem_documents(df: DataFrame, tokens: str = "lemmatized_text", out: str = "stemmed_text",
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Replace the tokens by their stems, in the same order.
+
+    Each distinct word is stemmed once and the stems are broadcast to the tokens.
+    A vocabulary beyond the bound is not joined at all: the tokens are then
+    stemmed where they are, which costs more processor time but no shuffle by
+    word. The other columns of ``df`` are carried along; keep them narrow.
+    """
+    carried = [c for c in df.columns if c != tokens]
+    vocabulary = materialize(stem_words(explode_tokens(df, [], tokens).distinct(), "token"), "stems")
+    if has_at_most(vocabulary, max_broadcast_rows):
+        def look_up(rows: DataFrame) -> DataFrame:
+            return rows.join(F.broadcast(vocabulary), "token", "left")
+    else:
+        def look_up(rows: DataFrame) -> DataFrame:
+            return stem_words(rows, "token")
+    stems = rejoin_tokens(df, carried, F.col(tokens), look_up, F.col("stem"))
+    return stems.withColumnRenamed("_values", out)

@@ -94,7 +94,9 @@ def lemmatized_corpus(df: DataFrame, keys: list[str], lexicon: DataFrame | None
     """``keys, lemmatized_text`` (and ``stemmed_text``) of documents with a lemma left."""
     normalized = normalize_documents(df.select(*keys, text), text).drop(text)
     lemmas = nonempty_lemmas(lemmatize_pos_filter(normalized, keys, lexicon))
-    return stem_documents(lemmas) if stems else lemmas
+    if not stems:
+        return lemmas
+    return stem_documents(lemmas.withColumn("_tokens", F.col("lemmatized_text")), "_tokens")
 
 
 @dataclass(frozen=True)

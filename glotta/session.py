@@ -25,6 +25,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, driver_
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every Column call is slow to build large expressions with.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from glotta.functions import tokens as fx
-from glotta.functions.stemming import stem_spanish
 from glotta.operators import normalization as nz
 
 # Words and stems from the published sample vocabulary of the Spanish Snowball stemmer.
@@ -73,10 +72,13 @@ def test_lemmas(spark, monkeypatch, tier):
     assert [r["docname"] for r in nz.nonempty_lemmas(got).collect()] == ["1"]
 
 
-def test_stems(spark):
+@pytest.mark.parametrize("bound", [1000, 0])
+def test_stems(spark, bound):
     words, want = STEMS[::2], STEMS[1::2]
-    df = spark.createDataFrame([(words,)], "t array<string>")
-    got = df.select(stem_spanish(F.col("t")).alias("s")).first()["s"]
+    df = spark.createDataFrame([(1, words), (2, [])], "d int, lemmatized_text array<string>")
+    got = dict(nz.stem_documents(df, max_broadcast_rows=bound).collect())
+    assert got[2] == []
+    got = got[1]
     assert {w: g for w, g, x in zip(words, got, want) if g != x} == {}
 
 
@@ -84,7 +86,7 @@ def test_stem_rules(spark):
     cases = {"rápidamente": "rapid", "naciones": "nacion", "nación": "nacion", "facilidades": "facil",
              "absolutamente": "absolut", "haciéndolas": "hac", "sociología": "sociolog", "paguen": "pag",
              "distribuyendo": "distribu", "existencia": "existent", "a": "a", "y": "y", "1984": "1984", "": ""}
-    df = spark.createDataFrame([(list(cases),)], "lemmatized_text array<string>")
-    got = nz.stem_documents(df).first()["stemmed_text"]
+    df = spark.createDataFrame([(1, list(cases))], "d int, lemmatized_text array<string>")
+    got = dict(nz.stem_documents(df).collect())[1]
     different = {w: (g, x) for (w, x), g in zip(cases.items(), got) if g != x}
     assert different == {}
