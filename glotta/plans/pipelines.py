@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glotta import SEED
 from glotta.operators import classification, evaluation, topics
 from glotta.operators.cleaning import clean_text
-from glotta.operators.language import LanguageProfiles, add_detected_language
+from glotta.operators.language import LanguageProfiles, detect_language
 from glotta.operators.normalization import (lemmatize_pos_filter, nonempty_lemmas, normalize_documents, stem_documents)
 from glotta.operators.translation import translate_detected
 from glotta.operators.vectors import document_to_vector
@@ -78,15 +78,16 @@ def score_documents(df: DataFrame, keys: list[str], profiles: LanguageProfiles,
     """Clean, detect, translate, normalise, embed and classify raw texts.
 
     Returns ``keys, detected_language, class_, probability`` for every document;
-    one that cannot be translated or embedded has a NULL class.
+    one that cannot be translated or embedded has a NULL class. The labels (one
+    small row per document) are needed twice, so they are written once.
     """
     cleaned = clean_text(df.select(*keys, text), text).select(*keys, "cleaned_text")
-    detected = add_detected_language(cleaned, profiles, keys)
-    translated = translate_detected(detected, keys, lexicon)
+    detected = materialize(detect_language(cleaned, profiles, keys), "detected-languages")
+    translated = translate_detected(cleaned.join(detected, keys, "left"), keys, lexicon)
     group = keys + ["detected_language"]
     vectors = embed_documents(translated, word_vectors, group)
     predicted = classification.predict_class(vectors, model, keys)
-    return detected.select(*group).join(predicted, keys, "left")
+    return detected.join(predicted, keys, "left")
 
 
 def lemmatized_corpus(df: DataFrame, keys: list[str], lexicon: DataFrame | None = None,
