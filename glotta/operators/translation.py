@@ -14,8 +14,8 @@ from glotta.functions.lexicons import (ENGLISH, ENGLISH_TARGET_PREFIX, TARGET_LA
                                        translation_lexicon)
 from glotta.functions.literals import literal_map
 from glotta.functions.text import WORD
-from glotta.operators.cleaning import nonempty_cleaned
 from glotta.operators.arrays import inline_rows, rejoin_tokens
+from glotta.operators.cleaning import nonempty_cleaned
 from glotta.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from glotta.operators.ranking import hash_rank
 from glotta.scratch import materialize
@@ -29,10 +29,11 @@ def route_translation(df: DataFrame, language: str = "language", languages: Data
     """Append ``model_name`` and ``route``: identity, english, generic or unsupported.
 
     An unknown or missing language is ``unsupported``: the row stays and can be
-    counted. The language table has 99 rows, so it is broadcast.
+    counted. The built-in language table has 99 rows and is broadcast; for another
+    table Spark decides by its size.
     """
-    languages = languages if languages is not None else supported_languages(df.sparkSession)
-    lookup = F.broadcast(languages.select(F.col("lang").alias("_lang"), "model_name"))
+    table = languages if languages is not None else F.broadcast(supported_languages(df.sparkSession))
+    lookup = table.select(F.col("lang").alias("_lang"), "model_name")
     route = (F.when(F.col(language) == TARGET_LANGUAGE, "identity")
              .when(F.col(language) == ENGLISH, "english")
              .when(F.col("model_name").isNotNull(), "generic")
