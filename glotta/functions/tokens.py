@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from glotta.functions.literals import literal_array
+from glotta.resources import spanish_stopwords
 
 # A token is a run of word characters or one other visible character.
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
 
-@lru_cache(maxsize=1)
-def spanish_stopwords() -> tuple[str, ...]:
-    """The Spanish stop-word list that ships with Spark."""
-    return tuple(dict.fromkeys(StopWordsRemover.loadDefaultStopWords("spanish")))
-
-
 def tokenize(text: Column) -> Column:
     """Words and single punctuation marks, in text order."""
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))

@@ -7,27 +7,15 @@ operator does not repeat itself here.
 
 from __future__ import annotations
 
-import zipfile
-from functools import lru_cache
-from pathlib import Path
+import sys
+from collections.abc import Callable
 
 from glotta import SEED
 from glotta.functions import stemming as st
 from glotta.functions.lexicons import (ENGLISH_MODEL_NAME, ENGLISH_TARGET_PREFIX, MODEL_NAME, SPANISH_FORMS,
                                        SUPPORTED_LANGUAGES, TO_SPANISH)
 from glotta.functions.tagging import DEFAULT_POS, POS_RULES
-
-
-@lru_cache(maxsize=1)
-def _stopwords() -> list[str]:
-    """The Spanish list in the Spark jar, read as a file so that no session is needed."""
-    import pyspark
-
-    jars = Path(pyspark.__file__).parent / "jars"
-    jar = next(iter(sorted(jars.glob("spark-mllib_*.jar"))))
-    with zipfile.ZipFile(jar) as z:
-        lines = z.read("org/apache/spark/ml/feature/stopwords/spanish.txt").decode("utf-8").split("\n")
-    return [w.strip() for w in lines if w.strip()]
+from glotta.resources import spanish_stopwords
 
 
 def _q(value: str) -> str:
@@ -38,6 +26,7 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(_q(v) for v in row) + ")" for row in rows)
 
 
+# The cleaning and token patterns, as in the operators.
 W = r"[\p{L}\p{N}_]"
 URL = (r"https?://(www\.)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b"
        r"([-a-zA-Z0-9()@:%_+.~#?&/=]*)")
@@ -78,7 +67,7 @@ def _with(ctes: str, query: str) -> str:
 
 def _normalized() -> str:
     """Distinct lower-cased tokens without stop words, one row per token."""
-    stop = ", ".join(f"({_q(w)})" for w in _stopwords())
+    stop = ", ".join(f"({_q(w)})" for w in spanish_stopwords())
     return (f"{CLEANED}, stop(word) as (values {stop}), norm as ("
             f"select distinct docname, language, token from (select docname, language, "
             f"unnest({_tokens('lower(cleaned_text)')}) as token from cleaned) where token not in (select word from stop))")
@@ -260,125 +249,124 @@ def _report(pairs: str) -> str:
             "cast(sum(support) as bigint) from f")
 
 
-def oracle_sql() -> dict[str, str]:
+def _builders() -> dict[str, Callable[[], str]]:
+    """Each SQL text as a function, so that one that cannot be made costs one query."""
     normalized_words = f"select token as word, count(*) as n from norm group by 1"
     kept_docs = ("select c.docname, {agg} as {name} from cleaned c left join {rows} r using (docname) group by 1")
     weights = (", w as (select language as topic, token as word, cast(count(*) as double) as weight from norm "
                "group by all)")
+    # The white-space and trailer patterns below.
     strip = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
     return {
-        "corpus_scan": _with(CORPUS, f"select context, language, docname, {strip} as text from corpus"),
-        "word_vectors_scan": _with(
+        "corpus_scan": lambda: _with(CORPUS, f"select context, language, docname, {strip} as text from corpus"),
+        "word_vectors_scan": lambda: _with(
             _word_vectors(), "select word, len(embedding) as dims, "
             "round(list_sum(list_transform(embedding, lambda x: x::double)), 6) as total from wv"),
-        "translation_store_write": _with(_store(), "select * from store"),
-        "translation_lookup": _with(_store(), "select c.docname, translated_text from corpus c left join store "
+        "translation_store_write": lambda: _with(_store(), "select * from store"),
+        "translation_lookup": lambda: _with(_store(), "select c.docname, translated_text from corpus c left join store "
                                     "using (context, language, docname)"),
-        "translated_only": _with(_store(), "select docname, language from store"),
-        "sample_n": _with(CORPUS, f"select docname, language from corpus order by {_key_hash('docname')}, docname "
+        "translated_only": lambda: _with(_store(), "select docname, language from store"),
+        "sample_n": lambda: _with(CORPUS, f"select docname, language from corpus order by {_key_hash('docname')}, docname "
                           "limit 10"),
-        "peek": _with(CORPUS, "select * from corpus order by docname limit 5"),
-        "peek_row": _with(CORPUS, "select * from corpus order by docname limit 1 offset 100"),
-        "clean_pixels": _with(CORPUS, "select docname, " + _pixels("length(text) || 'px|' || text || ' 12px'")
+        "peek": lambda: _with(CORPUS, "select * from corpus order by docname limit 5"),
+        "peek_row": lambda: _with(CORPUS, "select * from corpus order by docname limit 1 offset 100"),
+        "clean_pixels": lambda: _with(CORPUS, "select docname, " + _pixels("length(text) || 'px|' || text || ' 12px'")
                               + " as cleaned_text from corpus"),
-        "clean_box_assign": f"select page_id, {_box('html')} as cleaned_text from pages",
-        "remove_long_words": _with(CORPUS, f"select docname, {_long('text')} as cleaned_text from corpus"),
-        "remove_urls": "select page_id, " + _urls("'see ' || url || ' for more. ' || html")
+        "clean_box_assign": lambda: f"select page_id, {_box('html')} as cleaned_text from pages",
+        "remove_long_words": lambda: _with(CORPUS, f"select docname, {_long('text')} as cleaned_text from corpus"),
+        "remove_urls": lambda: "select page_id, " + _urls("'see ' || url || ' for more. ' || html")
                        + " as cleaned_text from pages",
-        "clean_text": _with(CLEANED, "select docname, cleaned_text from cleaned"),
-        "strip_wiki_trailers": _with(
+        "clean_text": lambda: _with(CLEANED, "select docname, cleaned_text from cleaned"),
+        "strip_wiki_trailers": lambda: _with(
             CORPUS, "select docname, " + _sub(_sub(
                 "text || chr(10) || 'Category: ' || context || chr(10) || '* ' || language || ': ' || docname "
                 "|| chr(10) || 'end'", r"(?m)(Categoría|Catégorie|Category):.+$"), r"(?m)\*\s[a-z]+:.*$")
             + " as stripped_text from corpus"),
-        "nonempty_cleaned": _with(CLEANED, "select docname from cleaned where length(cleaned_text) > 0"),
-        "fit_language_profiles": _with(_profiles(), "select language, gram, score from profile"),
-        "detect_language": _with(_detected(), "select docname, detected_language from cleaned left join detected "
+        "nonempty_cleaned": lambda: _with(CLEANED, "select docname from cleaned where length(cleaned_text) > 0"),
+        "fit_language_profiles": lambda: _with(_profiles(), "select language, gram, score from profile"),
+        "detect_language": lambda: _with(_detected(), "select docname, detected_language from cleaned left join detected "
                                  "using (docname)"),
-        "safe_detect": _with(_detected(), "select docname, detected_language from cleaned left join detected "
+        "safe_detect": lambda: _with(_detected(), "select docname, detected_language from cleaned left join detected "
                              "using (docname) union all select 'n' || docname, null from cleaned"),
-        "language_mismatch_counts": _with(
+        "language_mismatch_counts": lambda: _with(
             _detected(), "select c.language is distinct from detected_language as mismatch, count(*) as n "
             "from cleaned c left join detected using (docname) group by 1"),
-        "supported_languages": _with(_languages(), "select l.lang, model_name, count(d.lang) as n from languages l "
+        "supported_languages": lambda: _with(_languages(), "select l.lang, model_name, count(d.lang) as n from languages l "
                                      "left join documents d on d.lang = l.lang group by all"),
-        "route_translation": _with(
+        "route_translation": lambda: _with(
             f"{CORPUS}, {_languages()}", f"select docname, language, {ROUTE.format(l='language')} as route, "
             "model_name from corpus left join languages on lang = language"),
-        "english_target_prefix": _with(
+        "english_target_prefix": lambda: _with(
             CLEANED, f"select docname, case when language = 'en' then {_q(ENGLISH_TARGET_PREFIX)} else '' end "
             "|| cleaned_text as model_input from cleaned"),
-        "translation_batches": _with(
+        "translation_batches": lambda: _with(
             f"{CLEANED}, b as (select docname, language, cast(floor((row_number() over (partition by language "
             f"order by {_key_hash('docname')}, docname) - 1) / 15) as bigint) as batch from cleaned "
             "where length(cleaned_text) > 0)",
             "select docname, language, batch, count(*) over (partition by language, batch) as batch_rows, "
             "count(*) over (partition by language, batch) < 15 as is_short from b"),
-        "translate_batch": _with(f"{CLEANED}, {_translated()}", "select c.docname, coalesce(es_text, cleaned_text) "
+        "translate_batch": lambda: _with(f"{CLEANED}, {_translated()}", "select c.docname, coalesce(es_text, cleaned_text) "
                                  "as translated_text from cleaned c left join translated using (docname)"),
-        "translate_with_model": _with(
+        "translate_with_model": lambda: _with(
             f"{CLEANED}, {_translated()}", "select c.docname, coalesce(es_text, cleaned_text) "
             "as translated_text from cleaned c left join translated using (docname)"),
-        "model_cache": _with(
-            f"{CLEANED}, {_languages()}", "select count(*) as n, cast(1 as bigint) as loads from cleaned "
-            "join languages on lang = language where language <> 'es' and length(cleaned_text) > 0"),
-        "translate_corpus": _with(_store(), "select * from store"),
-        "translate_detected": _with(
+        "translate_corpus": lambda: _with(_store(), "select * from store"),
+        "translate_detected": lambda: _with(
             f"{_detected()}, {_languages()}, routed as (select docname, cleaned_text, detected_language, "
             f"{ROUTE.format(l='detected_language')} as route from cleaned left join detected using (docname) "
             f"left join languages on lang = detected_language), {_translated('detected_language', 'routed')}",
             "select docname, detected_language, route, case route when 'identity' then cleaned_text "
             "when 'unsupported' then null else coalesce(es_text, cleaned_text) end as translated_text "
             "from routed left join translated using (docname)"),
-        "tokenize": _with(CORPUS, f"select docname, array_to_string({_tokens('text')}, ' ') as tokens from corpus"),
-        "lowercase_tokens": _with(
+        "tokenize": lambda: _with(CORPUS, f"select docname, array_to_string({_tokens('text')}, ' ') as tokens from corpus"),
+        "lowercase_tokens": lambda: _with(
             CORPUS, f"select docname, array_to_string(list_transform({_tokens('text')}, lambda t: lower(t)), ' ') "
             "as tokens from corpus"),
-        "dedupe_tokens": _with(
+        "dedupe_tokens": lambda: _with(
             f"{CORPUS}, t as (select distinct docname, unnest({_tokens('lower(text)')}) as token from corpus)",
             f"select docname, {_list('token', 'token')} as tokens from corpus left join t using (docname) group by 1"),
-        "remove_stopwords": _with(
-            f"{CORPUS}, stop(word) as (values {', '.join(f'({_q(w)})' for w in _stopwords())}), "
+        "remove_stopwords": lambda: _with(
+            f"{CORPUS}, stop(word) as (values {', '.join(f'({_q(w)})' for w in spanish_stopwords())}), "
             f"t as (select docname, unnest({_tokens('text')}) as token, generate_subscripts({_tokens('text')}, 1) "
             "as pos from corpus), kept as (select * from t where lower(token) not in (select word from stop))",
             f"select docname, {_list('pos', 'token')} as tokens from corpus left join kept using (docname) group by 1"),
-        "keep_in_vocabulary": _with(
+        "keep_in_vocabulary": lambda: _with(
             f"{_word_vectors()}, kept as (select docname, token from norm join wv on word = token)",
             kept_docs.format(agg=_list("token", "token"), name="normalized_text", rows="kept")),
-        "normalize_document": _with(_normalized(), kept_docs.format(agg=_list("token", "token"),
+        "normalize_document": lambda: _with(_normalized(), kept_docs.format(agg=_list("token", "token"),
                                                                     name="normalized_text", rows="norm")),
-        "nonempty_normalized": _with(_normalized(), "select distinct docname from norm"),
-        "lemmatize_pos_filter": _with(_lemmas(), kept_docs.format(agg=_list("token", "lemma"),
+        "nonempty_normalized": lambda: _with(_normalized(), "select distinct docname from norm"),
+        "lemmatize_pos_filter": lambda: _with(_lemmas(), kept_docs.format(agg=_list("token", "lemma"),
                                                                   name="lemmatized_text", rows="lemma_rows")),
-        "nonempty_lemmas": _with(_lemmas(), "select distinct docname from lemma_rows"),
-        "stem_vocabulary": _with(
+        "nonempty_lemmas": lambda: _with(_lemmas(), "select distinct docname from lemma_rows"),
+        "stem_vocabulary": lambda: _with(
             f"{_stems()}, stem_rows as (select docname, token, stem from lemma_rows join stems using (lemma))",
             kept_docs.format(agg=_list("token", "stem"), name="stemmed_text", rows="stem_rows")),
-        "words_in_model": _with(
+        "words_in_model": lambda: _with(
             f"{_word_vectors()}, known as (select docname, token from norm join wv on word = token)",
             "select c.docname, count(token) as known_words from cleaned c left join known using (docname) group by 1"),
-        "document_to_vector": _with(
+        "document_to_vector": lambda: _with(
             f"{_word_vectors()}, cells as (select docname, unnest(range(len(embedding))) as dim, "
             "unnest(embedding)::double as x from norm join wv on word = token)",
             "select docname, dim, round(avg(x), 6) as value from cells group by all"),
-        "drop_unembeddable": _with(
+        "drop_unembeddable": lambda: _with(
             f"{_word_vectors()}, known as (select distinct docname from norm join wv on word = token)",
             "select k.docname is not null as embedded, count(*) as n from cleaned c left join known k "
             "on k.docname = c.docname group by 1"),
-        "vector_to_matrix": "select vec_id, len(embedding) as dims, round(list_sum(list_transform(embedding, "
+        "vector_to_matrix": lambda: "select vec_id, len(embedding) as dims, round(list_sum(list_transform(embedding, "
                             "lambda x: x::double)), 6) as total from embeddings",
-        "encode_classes": _with(CORPUS, "select docname, context, dense_rank() over (order by context) - 1 "
+        "encode_classes": lambda: _with(CORPUS, "select docname, context, dense_rank() over (order by context) - 1 "
                                 "as context_categorical from corpus"),
-        "holdout_split": _with(
+        "holdout_split": lambda: _with(
             CORPUS, f"select docname, row_number() over (order by {_key_hash('docname')}, docname) <= "
             "ceil(count(*) over () * 0.1::double) as is_test from corpus"),
-        "classification_report": _report(
+        "classification_report": lambda: _report(
             "select cast(quality as varchar) as y, cast(cast(n_chars > 1000 as int) as varchar) as p "
             "from labels join documents using (doc_id)"),
-        "classification_report_language": _report(
+        "classification_report_language": lambda: _report(
             _with(_detected(), "select c.language as y, detected_language as p from cleaned c left join detected "
                   "using (docname)")),
-        "nearest_words": _with(
+        "nearest_words": lambda: _with(
             f"{_word_vectors()}, cells as (select label, unnest(range(len(embedding))) as dim, "
             "unnest(embedding)::double as x from embeddings), centers as (select label, dim, avg(x) as c from cells "
             "group by all), wcells as (select word, unnest(range(len(embedding))) as dim, unnest(embedding)::double "
@@ -386,34 +374,44 @@ def oracle_sql() -> dict[str, str]:
             "sqrt(sum(c * c))), 6) as similarity from wcells join centers using (dim) group by all), "
             "r as (select *, row_number() over (partition by topic order by similarity desc, word) as rank from sims)",
             "select cast(topic as bigint) as topic, rank, word, similarity from r where rank <= 50"),
-        "build_dictionary": _with(
+        "build_dictionary": lambda: _with(
             f"{_lemmas()}, d as (select lemma as token, count(distinct docname) as doc_freq from lemma_rows group by 1)",
             f"select token, row_number() over (order by {_key_hash('token')}, token) - 1 as token_id, doc_freq from d"),
-        "filter_extremes": _with(
+        "filter_extremes": lambda: _with(
             f"{_lemmas()}, d as (select lemma as token, count(distinct docname) as doc_freq from lemma_rows group by 1)",
             "select token, doc_freq from d where doc_freq >= 50 and doc_freq <= 0.5 * "
             "(select count(distinct docname) from lemma_rows)"),
-        "bag_of_words": _with(_lemmas(), "select docname, lemma as token, count(*) as n from lemma_rows group by all"),
-        "corpus_stats": _with(
+        "bag_of_words": lambda: _with(_lemmas(), "select docname, lemma as token, count(*) as n from lemma_rows group by all"),
+        "corpus_stats": lambda: _with(
             _lemmas(), "select 'unique_tokens' as stat, count(distinct lemma) as value from lemma_rows "
             "union all select 'documents', count(distinct docname) from lemma_rows"),
-        "topic_word_weights": _with(
+        "topic_word_weights": lambda: _with(
             f"{_normalized()}{weights}, r as (select *, row_number() over (partition by topic order by weight desc, "
             "word) as rank, max(weight) over (partition by topic) as top from w)",
             "select topic, rank, word, weight, round(weight / top, 6) as relative from r where rank <= 10"),
-        "topic_term_relevance": _with(
+        "topic_term_relevance": lambda: _with(
             f"{_normalized()}{weights}, p as (select topic, word, weight / sum(weight) over (partition by topic) as pwt, "
             "sum(weight) over (partition by word) / sum(weight) over () as pw from w), "
             "s as (select topic, word, round(0.6::double * ln(pwt) + (1 - 0.6::double) * ln(pwt / pw), 6) as relevance "
             "from p), r as (select *, row_number() over (partition by topic order by relevance desc, word) as rank "
             "from s)", "select topic, rank, word, relevance from r where rank <= 30"),
-        "count_documents": "select count(*) as n from documents",
-        "docs_by_language": _with(CORPUS, "select language, count(*) as n from corpus group by 1 order by 2 desc, 1"),
-        "docs_by_context": _with(CORPUS, "select context, count(*) as n from corpus group by 1 order by 2 desc, 1"),
-        "docs_by_docname": _with(CORPUS, "select docname, count(*) as n from corpus group by 1 order by 2 desc, 1"),
-        "missing_translation_counts": _with(
+        "count_documents": lambda: "select count(*) as n from documents",
+        "docs_by_language": lambda: _with(CORPUS, "select language, count(*) as n from corpus group by 1 order by 2 desc, 1"),
+        "docs_by_context": lambda: _with(CORPUS, "select context, count(*) as n from corpus group by 1 order by 2 desc, 1"),
+        "docs_by_docname": lambda: _with(CORPUS, "select docname, count(*) as n from corpus group by 1 order by 2 desc, 1"),
+        "missing_translation_counts": lambda: _with(
             _store(), "select translated_text is null as missing, count(*) as n from corpus left join store "
             "using (context, language, docname) group by 1"),
-        "word_frequencies": _with(_normalized(), normalized_words),
-        "word_frequencies_top": _with(_normalized(), normalized_words + " order by n desc, word limit 200"),
+        "word_frequencies": lambda: _with(_normalized(), normalized_words),
+        "word_frequencies_top": lambda: _with(_normalized(), normalized_words + " order by n desc, word limit 200"),
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    made = {}
+    for name, build in _builders().items():
+        try:
+            made[name] = build()
+        except Exception as e:
+            print(f"no SQL for {name}: {e!r}", file=sys.stderr)
+    return made

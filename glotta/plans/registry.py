@@ -237,50 +237,35 @@ def lexicon_translate(spark, sf_dir):
     return translation.lexicon_translate(cleaned(spark, sf_dir), DOC).select("docname", "translated_text")
 
 
-def _lexicon_model():
-    """A stand-in for a user's model: the default lexicon applied to a batch of texts."""
-    import re
-
-    import numpy as np
-
-    word = re.compile(r"\w+")
-
-    def predict(model_names, texts):
-        out = []
-        for name, text in zip(model_names, texts):
-            lang = name.split("opus-mt-")[1].split("-")[0]
-            known = TO_SPANISH.get(lang, {})
-            body = text.removeprefix(ENGLISH_TARGET_PREFIX) if lang == "en" else text
-            out.append(word.sub(lambda m: known.get(m.group().lower(), m.group()), body))
-        return np.array(out, dtype=object)
-
-    return predict
-
-
 def translate_with_model(spark, sf_dir):
-    done = translation.translate_with_model(cleaned(spark, sf_dir), _lexicon_model)
-    return done.select("docname", "translated_text")
+    """The model hook with a stand-in for a user's model: the default lexicon applied to a batch of texts.
 
+    The factory closes over plain values only and is defined here, so it travels
+    to the Python workers by value and they need not be able to import this package.
+    """
+    lexicon = {lang: dict(words) for lang, words in TO_SPANISH.items()}
+    prefix = ENGLISH_TARGET_PREFIX
 
-def _identified_model():
-    """A stand-in whose answer names the worker process and the load it came from."""
-    import socket
-    import uuid
+    def load_model():
+        import re
 
-    import numpy as np
+        import numpy as np
 
-    load = f"{socket.gethostname()}-{os.getpid()} {uuid.uuid4().hex}"
-    return lambda model_names, texts: np.array([load] * len(texts), dtype=object)
+        word = re.compile(r"\w+")
 
+        def predict(model_names, texts):
+            out = []
+            for name, text in zip(model_names, texts):
+                lang = name.split("opus-mt-")[1].split("-")[0]
+                known = lexicon.get(lang, {})
+                body = text.removeprefix(prefix) if lang == "en" else text
+                out.append(word.sub(lambda m: known.get(m.group().lower(), m.group()), body))
+            return np.array(out, dtype=object)
 
-def model_cache(spark, sf_dir):
-    """The largest number of times one worker process loaded the model, over all documents sent to it."""
-    done = translation.translate_with_model(cleaned(spark, sf_dir), _identified_model)
-    sent = done.filter(F.col("route").isin("english", "generic")).select(F.split("translated_text", " ").alias("w"))
-    per_load = sent.groupBy(F.col("w")[0].alias("worker"), F.col("w")[1].alias("load")).agg(
-        F.count(F.lit(1)).alias("n"))
-    per_worker = per_load.groupBy("worker").agg(F.count(F.lit(1)).alias("loads"), F.sum("n").alias("n"))
-    return per_worker.agg(F.sum("n").alias("n"), F.max("loads").alias("loads"))
+        return predict
+
+    done = translation.translate_with_model(cleaned(spark, sf_dir), load_model)
+    return done.select("docname", "translated_text")
 
 
 def translate_corpus(spark, sf_dir):
@@ -593,7 +578,6 @@ QUERIES = {
     "translation_batches": translation_batches,
     "translate_batch": lexicon_translate,
     "translate_with_model": translate_with_model,
-    "model_cache": model_cache,
     "translate_corpus": translate_corpus,
     "translate_detected": translate_detected,
     "tokenize": tokenize,
