@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from glotta.llm import simhash
+from glotta.llm import decontamination, packing, simhash
 
 QUERIES = {
+    "op4_bm25_decontamination": decontamination.op4_bm25_decontamination,
+    "op8_reduced_best_fit_packing": packing.op8_reduced_best_fit_packing,
     "op9_covering_simhash": simhash.op9_covering_simhash,
 }
 

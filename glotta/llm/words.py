@@ -9,6 +9,9 @@ import numpy as np
 # The bytes that separate words, [\x20\x09-\x0D].
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# The ASCII punctuation that separates words where only letters and digits count.
+_PUNCTUATION = _SPACE.copy()
+_PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -87,14 +90,17 @@ class Words:
         return mix(out), at
 
 
-def split(texts: list[bytes], lower: bool = False) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each text; ``lower`` lower-cases A-Z first."""
+def split(texts: list[bytes], lower: bool = False, punctuation: bool = False) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each text.
+
+    ``lower`` lower-cases A-Z first, ``punctuation`` lets ASCII punctuation separate words too.
+    """
     buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     if lower:
         buf = _LOWER[buf]
     base = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=base[1:])
-    inside = ~_SPACE[buf]
+    inside = ~(_PUNCTUATION if punctuation else _SPACE)[buf]
     edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
     starts, ends = edge[0::2], edge[1::2]
     doc = np.searchsorted(base, starts, side="right") - 1
