@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from glotta.llm import decontamination, packing, simhash
+from glotta.llm import decontamination, line_dedup, packing, simhash
 
 QUERIES = {
     "op4_bm25_decontamination": decontamination.op4_bm25_decontamination,
     "op8_reduced_best_fit_packing": packing.op8_reduced_best_fit_packing,
+    "op10_segment_line_join": line_dedup.op10_segment_line_join,
     "op9_covering_simhash": simhash.op9_covering_simhash,
 }
 
