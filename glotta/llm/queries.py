@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from glotta.llm import decontamination, line_dedup, packing, simhash
+from glotta.llm import decontamination, line_dedup, outliers, packing, simhash
 
 QUERIES = {
+    "op3_robust_quality_outliers": outliers.op3_robust_quality_outliers,
     "op4_bm25_decontamination": decontamination.op4_bm25_decontamination,
     "op8_reduced_best_fit_packing": packing.op8_reduced_best_fit_packing,
     "op10_segment_line_join": line_dedup.op10_segment_line_join,
