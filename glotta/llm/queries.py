@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from glotta.llm import decontamination, line_dedup, outliers, packing, simhash
+from glotta.llm import decontamination, line_dedup, outliers, packing, pii, simhash, warc
 
 QUERIES = {
+    "op1_warc_revisits": warc.op1_warc_revisits,
+    "op2_boosted_pii": pii.op2_boosted_pii,
     "op3_robust_quality_outliers": outliers.op3_robust_quality_outliers,
     "op4_bm25_decontamination": decontamination.op4_bm25_decontamination,
     "op8_reduced_best_fit_packing": packing.op8_reduced_best_fit_packing,
