@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from glotta.llm import decontamination, html_density, line_dedup, outliers, packing, pii, simhash, suffix_dedup, warc
+from glotta.llm import (compact_windows, decontamination, html_density, line_dedup, outliers, packing, pii, simhash,
+                        suffix_dedup, warc)
 
 QUERIES = {
     "op1_warc_revisits": warc.op1_warc_revisits,
@@ -10,6 +11,7 @@ QUERIES = {
     "op3_robust_quality_outliers": outliers.op3_robust_quality_outliers,
     "op4_bm25_decontamination": decontamination.op4_bm25_decontamination,
     "op5_composite_text_density": html_density.op5_composite_text_density,
+    "op6_compact_windows": compact_windows.op6_compact_windows,
     "op7_blockwise_suffix_dedup": suffix_dedup.op7_blockwise_suffix_dedup,
     "op8_reduced_best_fit_packing": packing.op8_reduced_best_fit_packing,
     "op10_segment_line_join": line_dedup.op10_segment_line_join,
