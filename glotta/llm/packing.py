@@ -21,11 +21,13 @@ null ids are carried, other columns are not read, an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,29 +38,96 @@ CAPACITY = 2048
 SEPARATOR = 0
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS = 200_000
+CACHED_PARTS = 300_000
+BLOCK_BYTES = 1 << 20
 
+# How the vocabulary's pre-tokenizer cuts lower-cased text, and white space between words.
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+LOOSE = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\n])")
+LAST_LATIN = "\u024f"
 
-class _Ids(dict):
-    """Word -> its ids as little-endian unsigned 32-bit numbers.
+
+class _Ids:
+    """Ids of words, as little-endian unsigned 32-bit numbers.
 
     Pre-tokens never reach across ASCII white space, so the ids of a text are
-    those of its words in turn.
+    those of its words in turn. Printable Latin words are cut into pre-tokens
+    here, since far fewer of those are new; what is new in a block is encoded in
+    one call. All other words go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        made = np.array(ids, dtype="<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = made
-        return made
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        made = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        owner = np.array(made.word_ids, dtype=np.int64)
+        if not len(owner) or owner[-1] + 1 != len(parts):  # not one pre-token each: ask for each
+            self.parts.update((part, self._encode(part)) for part in parts)
+            return
+        data = np.array(made.ids, dtype="<u4").tobytes()
+        ends = np.searchsorted(owner, np.arange(len(parts)), side="right") * 4
+        start = 0
+        for part, end in zip(parts, ends.tolist()):
+            self.parts[part] = data[start:end]
+            start = end
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        if len(self.parts) > CACHED_PARTS:
+            self.parts.clear()
+        whole: dict[bytes, str] = {}
+        cut: dict[bytes, list[str]] = {}
+        for word in words.difference(self.words):
+            text = word.decode("utf-8", "replace").lower()
+            if text.isalpha() and max(text) <= LAST_LATIN:
+                whole[word] = text
+            elif b"<|" in word or not text.isprintable() or max(text) > LAST_LATIN:
+                self.words[word] = self._encode(word.decode("utf-8", "replace"))
+            else:
+                cut[word] = PRE_TOKEN.findall(text)
+        unknown = {part for parts in cut.values() for part in parts}
+        unknown.update(whole.values())
+        unknown.difference_update(self.parts)
+        if unknown:
+            self._learn_parts(list(unknown))
+        for word, part in whole.items():
+            self.words[word] = self.parts[part]
+        for word, parts in cut.items():
+            self.words[word] = b"".join(map(self.parts.__getitem__, parts))
+
+    def of(self, words: list[bytes]) -> bytes:
+        return b"".join(map(self.words.__getitem__, words))
+
+
+def _plain(text: bytes) -> bytes:
+    """A text of the same ids with fewer different words.
+
+    The vocabulary is lower-case, and a full stop or comma between a letter and
+    white space is a pre-token of its own. Texts that might spell a special
+    token stay as they are.
+    """
+    return text if b"<|" in text else LOOSE.sub(rb" \1", text.lower())
+
+
+def _blocks(text: bytes) -> list[bytes]:
+    """A long text in blocks that end at white space."""
+    out, start = [], 0
+    while len(text) - start > BLOCK_BYTES:
+        found = SPACE.search(text, start + BLOCK_BYTES)
+        end = found.end() if found else len(text)
+        out.append(text[start:end])
+        start = end
+    return out + [text[start:]]
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -76,14 +145,23 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             rows = []
-            for first, texts in pieces(batch, "text"):
-                for i, text in enumerate(texts, first):
-                    data = b"".join(map(ids.__getitem__, text.split())) + end
-                    for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                        own = data[at:at + 4 * capacity]
-                        n = len(own) // 4
-                        rows.append((i, k, at // 4, n, zlib.crc32(own), seen[n]))
-                        seen[n] += 1
+            for first, texts in pieces(batch, "text", BLOCK_BYTES):
+                split = [[block.split() for block in _blocks(_plain(text))] for text in texts]
+                if len(texts) > 1:
+                    ids.learn({word for blocks in split for words in blocks for word in words})
+                for i, blocks in enumerate(split, first):
+                    data, k = b"", 0
+                    for words in blocks:
+                        if len(texts) == 1:
+                            ids.learn(set(words))
+                        data += ids.of(words)
+                        while len(data) >= 4 * capacity:  # the separator is still to come
+                            rows.append((i, k, k * capacity, capacity, zlib.crc32(data[:4 * capacity]), seen[capacity]))
+                            seen[capacity] += 1
+                            data, k = data[4 * capacity:], k + 1
+                    data += end
+                    rows.append((i, k, k * capacity, len(data) // 4, zlib.crc32(data), seen[len(data) // 4]))
+                    seen[len(data) // 4] += 1
             if rows:
                 i, k, start, n, crc, local = (np.array(c, dtype=np.int64) for c in zip(*rows))
                 yield pa.RecordBatch.from_arrays(
