@@ -67,7 +67,7 @@ class Page:
     """The tree of a page in page order: parents come before their children."""
 
     def __init__(self, source: str):
-        self.name, self.parent, self.dropped = ["#page"], [-1], [False]
+        self.name, self.parent, self.dropped, self.in_article = ["#page"], [-1], [False], [False]
         self.pieces: list[tuple[int, int, str]] = []  # node, block, text
         self._stack, self._block = [0], 0
         self._read(source)
@@ -122,7 +122,8 @@ class Page:
             self.pieces.append((top, self._block, " "))
         self.name.append(name)
         self.parent.append(top)
-        self.dropped.append(self.dropped[top] or self._is_dropped(name, attributes, top))
+        self.dropped.append(self.dropped[top] or self._is_dropped(name, attributes, self.in_article[top]))
+        self.in_article.append(self.in_article[top] or name in ("article", "main"))
         if name not in VOID and not attributes.endswith("/"):
             self._stack.append(len(self.name) - 1)
         elif name in BLOCK:
@@ -143,10 +144,10 @@ class Page:
                 self._pop_to(depth)
                 return
 
-    def _is_dropped(self, name: str, attributes: str, parent: int) -> bool:
+    @staticmethod
+    def _is_dropped(name: str, attributes: str, inside: bool) -> bool:
         if name in DROPPED:
             return True
-        inside = self._inside_article(parent)
         if name == "header":
             return not inside
         if not attributes or name in KEPT:
@@ -163,13 +164,6 @@ class Page:
                     return True
         return False
 
-    def _inside_article(self, node: int) -> bool:
-        while node > 0:
-            if self.name[node] in ("article", "main"):
-                return True
-            node = self.parent[node]
-        return False
-
 
 def densities(page: Page) -> tuple[list[float], list[float], list[int], list[int]]:
     """Composite density, sum over children, characters and link characters of every node.
