@@ -31,7 +31,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    spark = build_session(f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, "16g")
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["word_frequencies"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

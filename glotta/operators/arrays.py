@@ -26,15 +26,21 @@ def rejoin_tokens(df: DataFrame, carried: list[str], tokens: Column,
                   lookup: Callable[[DataFrame], DataFrame], value: Column) -> DataFrame:
     """Look tokens up as rows and collect them again: ``carried`` plus ``_values``.
 
-    ``tokens`` is exploded to ``(carried, pos, token)``, ``lookup`` joins its table
-    to those rows (keeping them all), and the non-NULL ``value``s of a document
-    are collected in token order. ``carried`` holds the document key and the
-    narrow columns that go with it. Every document has one row in the result; a
-    NULL array stays NULL. With a broadcast look-up the tokens of a document are
-    still together, so they are collected before the shuffle.
+    ``tokens`` is exploded to ``(_row, _carried, _pos, token)``, ``lookup`` joins its
+    table to those rows (keeping them all), and the non-NULL ``value``s of a row
+    are collected in token order. ``_row`` numbers the rows of ``df``, so rows with
+    equal columns stay apart, and the carried columns travel in one struct, so
+    they may be of any type and name. Every row of ``df`` has one row in the
+    result; a NULL array stays NULL. With a broadcast look-up the tokens of a row
+    are still together, so they are collected before the shuffle.
     """
-    exploded = df.select(*carried, tokens.isNull().alias("_no_tokens"), F.posexplode_outer(tokens).alias("pos", "token"))
-    kept = F.when(value.isNotNull(), F.struct("pos", value.alias("v")))
-    grouped = lookup(exploded).groupBy(*carried).agg(
-        F.sort_array(F.collect_list(kept)).alias("_s"), F.max("_no_tokens").alias("_no_tokens"))
-    return grouped.select(*carried, F.when(~F.col("_no_tokens"), F.col("_s.v")).alias("_values"))
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), tokens.alias("_tokens"),
+                         F.struct(F.lit(0).alias("_"), *carried).alias("_carried"))
+    exploded = numbered.select("_row", "_carried", F.col("_tokens").isNull().alias("_no_tokens"),
+                               F.posexplode_outer("_tokens").alias("_pos", "token"))
+    kept = F.when(value.isNotNull(), F.struct("_pos", value.alias("v")))
+    grouped = lookup(exploded).groupBy("_row").agg(
+        F.sort_array(F.collect_list(kept)).alias("_s"), F.max("_no_tokens").alias("_no_tokens"),
+        F.first("_carried").alias("_carried"))
+    return grouped.select(*[F.col("_carried")[c].alias(c) for c in carried],
+                          F.when(~F.col("_no_tokens"), F.col("_s.v")).alias("_values"))

@@ -47,6 +47,12 @@ def holdout_split(df: DataFrame, keys: list[str], test_share: float = TEST_SHARE
     return flagged.withColumnRenamed("selected", "is_test")
 
 
+def content_split(df: DataFrame, column: str, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
+    """Append ``is_test`` for about ``test_share`` of the values of ``column``: equal values are never on both sides."""
+    part = F.pmod(F.xxhash64(F.lit(seed), column), F.lit(1_000_000))
+    return df.withColumn("is_test", part < F.lit(round(test_share * 1_000_000)))
+
+
 @dataclass(frozen=True)
 class TrainedClassifier:
     """The fitted pipeline (classifier, label decoder) and its labels in code order."""

@@ -44,16 +44,3 @@ def lookup_join(left: DataFrame, lookup: DataFrame, on: str | list[str], how: st
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_left.join(salted_lookup.hint("shuffle_hash"), keys + ["_salt"], how).drop("_salt")
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a scan that yields too few splits to keep every core busy.
-
-    Only small inputs are touched. A scan with enough splits (any large table)
-    passes through without a shuffle. The hash partitioning on the document key
-    is one that the later per-document aggregations can reuse.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -15,7 +15,8 @@ from glotta.functions.text import char_trigrams
 from glotta.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from glotta.scratch import materialize
 
-MAX_LANGUAGES = 500
+UNKNOWN = "unknown"
+MIN_KNOWN = 0.6  # share of a text's trigrams that its language must have been seen with
 SCALE = 1_000_000
 
 
@@ -52,10 +53,7 @@ def fit_language_profiles(df: DataFrame, text: str = "cleaned_text", language: s
     table is written once; its totals (one number per language) reach the driver.
     """
     known = df.filter(F.col(language).isNotNull())
-    found = known.select(language).distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} distinct values in {language!r}: not a language column")
-    languages = sorted(r[0] for r in found)
+    languages = sorted(r[0] for r in known.select(language).distinct().collect())  # one column each in the table
     if not languages:
         return LanguageProfiles(df.sparkSession.createDataFrame([], "gram string"), [], {}, 0)
     grams = known.select(F.col(language).alias("_l"), F.explode(char_trigrams(F.col(text))).alias("gram"))
@@ -82,9 +80,14 @@ def fit_language_profiles(df: DataFrame, text: str = "cleaned_text", language: s
 
 
 def detect_language(df: DataFrame, profiles: LanguageProfiles, keys: list[str], text: str = "cleaned_text",
-                    out: str = "detected_language", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    out: str = "detected_language", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                    min_known: float = MIN_KNOWN) -> DataFrame:
     """``keys`` plus the most likely language; NULL where the text has no letters.
 
+    A trigram that no profile holds counts the same for all languages. A text of
+    whose trigrams the likeliest language was seen with less than ``min_known``
+    is in none of them: ``unknown``.
+
     Every row of ``df`` is kept. The trigrams of a document stay in the task that
     read it: they meet the broadcast profiles there and are summed there, so one
     small row per document is all that is shuffled. Ties go to the first language
@@ -96,14 +99,17 @@ def detect_language(df: DataFrame, profiles: LanguageProfiles, keys: list[str],
     joined = lookup_join(grams, profiles.table, "gram", "left", F.struct(*keys),
                          small=profiles.size <= max_broadcast_rows)
     scores = [
-        F.sum(F.when(F.col("gram").isNotNull(), F.coalesce(F.col(_column(i)), F.lit(profiles.unseen[lang]))))
-        .alias(_column(i))
+        F.sum(F.when(F.col("gram").isNotNull(), F.coalesce(F.col(_column(i)), F.lit(0)))).alias(_column(i))
         for i, lang in enumerate(profiles.languages)
     ]
-    summed = joined.groupBy(*keys).agg(*scores)
+    seen = [F.sum((F.coalesce(F.col(_column(i)), F.lit(floor)) > floor).cast("bigint")).alias(f"k{i}")
+            for i, floor in enumerate(profiles.unseen[lang] for lang in profiles.languages)]
+    summed = joined.groupBy(*keys).agg(*scores, *seen, F.count("gram").alias("_grams"))
     best = F.greatest(*[F.col(_column(i)) for i in range(len(scores))]) if len(scores) > 1 else F.col(_column(0))
     label = F.coalesce(*[F.when(F.col(_column(i)) == best, F.lit(lang)) for i, lang in enumerate(profiles.languages)])
-    return summed.select(*keys, label.alias(out))
+    known = F.coalesce(*[F.when(F.col(_column(i)) == best, F.col(f"k{i}")) for i in range(len(scores))])
+    named = F.when(known >= F.lit(min_known) * F.col("_grams"), label).when(label.isNotNull(), F.lit(UNKNOWN))
+    return summed.select(*keys, named.alias(out))
 
 
 def add_detected_language(df: DataFrame, profiles: LanguageProfiles, keys: list[str], text: str = "cleaned_text",

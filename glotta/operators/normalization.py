@@ -47,11 +47,11 @@ def keep_in_vocabulary(df: DataFrame, vocabulary: DataFrame | None, keys: list[s
 
     def look_up(exploded: DataFrame) -> DataFrame:
         with_word = exploded.withColumn("_word", F.lower("token"))
-        return lookup_join(with_word, words, "_word", "left", F.struct(*keys), max_broadcast_rows)
+        return lookup_join(with_word, words, "_word", "left", F.col("_row"), max_broadcast_rows)
 
     carried = [c for c in df.columns if c != tokens]
     kept = rejoin_tokens(df, carried, F.col(tokens), look_up, F.when(F.col("_known"), F.col("token")))
-    return kept.withColumnRenamed("_values", tokens)
+    return kept.select(*[F.col("_values").alias(c) if c == tokens else F.col(c) for c in df.columns])
 
 
 def lemmatize_pos_filter(df: DataFrame, keys: list[str], lexicon: DataFrame | None = None,
@@ -60,13 +60,14 @@ def lemmatize_pos_filter(df: DataFrame, keys: list[str], lexicon: DataFrame | No
                          max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Replace the tokens by the lemmas of those whose class is allowed, in token order.
 
-    The class and lemma come from ``lexicon(form, lemma, pos)`` with unique
-    forms; a form it does not hold is tagged by its ending.
+    The class and lemma come from ``lexicon(form, lemma, pos)``, of a repeated form
+    from its least (lemma, pos); a form it does not hold is tagged by its ending.
     """
     lexicon = lexicon if lexicon is not None else spanish_pos_lexicon(df.sparkSession)
 
     rows = inline_rows(lexicon)
     if rows is not None:
+        rows = sorted(rows, key=lambda r: (r["lemma"], r["pos"]), reverse=True)  # the least is written last
         known_lemmas = literal_map({r["form"]: r["lemma"] for r in rows})
         known_pos = literal_map({r["form"]: r["pos"] for r in rows})
 
@@ -80,8 +81,9 @@ def lemmatize_pos_filter(df: DataFrame, keys: list[str], lexicon: DataFrame | No
         return df.select(*[c for c in df.columns if c != tokens], lemmas.alias(out))
 
     def look_up(exploded: DataFrame) -> DataFrame:
-        forms = lexicon.select(F.col("form").alias("token"), "lemma", F.col("pos").alias("pos_"))
-        return lookup_join(exploded, forms, "token", "left", F.struct(*keys), max_broadcast_rows)
+        forms = lexicon.groupBy(F.col("form").alias("token")).agg(F.min(F.struct("lemma", "pos")).alias("_f"))
+        forms = forms.select("token", F.col("_f.lemma").alias("lemma"), F.col("_f.pos").alias("pos_"))
+        return lookup_join(exploded, forms, "token", "left", F.col("_row"), max_broadcast_rows)
 
     pos = F.coalesce(F.col("pos_"), rule_pos(F.col("token")))
     lemma = F.coalesce(F.col("lemma"), rule_lemma(F.col("token"), pos))

@@ -25,7 +25,6 @@ NO_BELOW = 50
 NO_ABOVE = 0.5
 
 MAX_LDA_VOCABULARY = 2_000_000
-MAX_TOPICS = 1_000
 
 
 def train_kmeans(vectors: DataFrame, k: int = NUM_TOPICS, column: str = "document_embeddings",
@@ -111,15 +110,19 @@ def train_lda(df: DataFrame, k: int = NUM_TOPICS, tokens: str = "lemmatized_text
               seed: int = SEED) -> TrainedLda:
     """Online LDA; ``passes`` over the documents, each split into ``1 / subsampling_rate`` mini-batches.
 
-    The model itself (vocabulary x k) lives on the driver in MLlib, so the
-    vocabulary is counted first: one over the bound is an error, never a silent
-    cut; pass ``min_df`` / ``max_df`` to filter extremes.
+    The model itself (vocabulary x k) lives on the driver in MLlib, so the tokens
+    that ``min_df`` and ``max_df`` leave (counts from 1 on, else shares of the
+    documents) are counted first: more than the bound is an error, never a cut.
     """
     documents = df.select(tokens).persist()
     try:
-        size = documents.select(F.explode(tokens)).distinct().limit(MAX_LDA_VOCABULARY + 1).count()
-        if size > MAX_LDA_VOCABULARY and min_df <= 1 and max_df is None:
-            raise ValueError(f"more than {MAX_LDA_VOCABULARY} distinct tokens: set min_df / max_df")
+        n = documents.count()
+        least, most = (x if x is None or x >= 1 else x * n for x in (min_df, max_df))
+        freq = documents.select(F.explode(F.array_distinct(tokens)).alias("t")).groupBy("t").count()
+        kept = freq.filter(F.col("count") >= least)
+        size = (kept if most is None else kept.filter(F.col("count") <= most)).count()
+        if size > MAX_LDA_VOCABULARY:
+            raise ValueError(f"{size} tokens are left, {MAX_LDA_VOCABULARY} at most: set min_df / max_df")
         limits = {} if max_df is None else {"maxDF": float(max_df)}
         vectorizer = CountVectorizer(inputCol=tokens, outputCol="features", minDF=min_df,
                                      vocabSize=max(size, 1), **limits).fit(documents)
@@ -166,14 +169,9 @@ def topic_term_relevance(weights: DataFrame, word_frequencies: DataFrame, lam: f
     places before ranking, so ties are broken by the word alone.
     """
     total_n = word_frequencies.agg(F.sum("n").alias("t")).first()["t"] or 1
-    per_topic = weights.groupBy("topic").agg(F.sum("weight").alias("t")).limit(MAX_TOPICS + 1).collect()
-    if len(per_topic) > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics")
-    totals = {r["topic"]: r["t"] for r in per_topic}
-    total_w = F.element_at(F.create_map(*[x for t, v in totals.items() for x in (F.lit(t), F.lit(float(v)))]),
-                           F.col("topic")) if totals else F.lit(1.0)
-    joined = weights.filter(F.col("weight") > 0).join(word_frequencies, "word")
-    p_wt = F.col("weight") / total_w
+    totals = weights.groupBy("topic").agg(F.sum("weight").alias("_total"))  # one small row per topic
+    joined = weights.filter(F.col("weight") > 0).join(word_frequencies, "word").join(totals, "topic")
+    p_wt = F.col("weight") / F.col("_total")
     p_w = F.col("n") / F.lit(float(total_n))
     relevance = F.round(F.lit(lam) * F.log(p_wt) + F.lit(1 - lam) * F.log(p_wt / p_w), 6)
     best = Window.partitionBy("topic").orderBy(F.desc("relevance"), "word")

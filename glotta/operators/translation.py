@@ -64,11 +64,12 @@ def translation_batches(df: DataFrame, keys: list[str], language: str = "languag
     if limit is not None:
         ranked = ranked.filter(F.col("_rank") < limit)
     batched = ranked.withColumn("batch", F.floor((F.col("_rank") - offset) / batch_size)).drop("_rank")
-    sizes = batched.groupBy(language, "batch").agg(F.count(F.lit(1)).alias("batch_rows"))
-    sizes = sizes.withColumnRenamed(language, "_language").withColumnRenamed("batch", "_batch")
-    same = F.col(language).eqNullSafe(F.col("_language")) & (F.col("batch") == F.col("_batch"))
-    return batched.join(sizes, same).select(
-        *keys, language, "batch", "batch_rows", (F.col("batch_rows") < batch_size).alias("is_short"))
+    # The size of a batch follows from the number of documents of its language: one small row each.
+    totals = rows.groupBy(F.col(language).alias("_language")).agg(F.count(F.lit(1)).alias("_n"))
+    taken = F.col("_n") - offset if limit is None else F.least(F.col("_n"), F.lit(limit)) - offset
+    size = F.least(F.lit(batch_size).cast("bigint"), taken - F.col("batch") * batch_size)
+    return batched.join(totals, F.col(language).eqNullSafe(F.col("_language"))).select(
+        *keys, language, "batch", size.alias("batch_rows"), (size < batch_size).alias("is_short"))
 
 
 def _with_pieces(text: str) -> Column:
@@ -86,7 +87,8 @@ def lexicon_translate(df: DataFrame, keys: list[str], lexicon: DataFrame | None
     """Replace ``text`` by ``out``: every word found in the lexicon of its language is replaced.
 
     Look-up ignores case; other words and everything between words stay as they
-    are. ``lexicon`` is ``(lang, token, es_token)`` with unique ``(lang, token)``.
+    are. ``lexicon`` is ``(lang, token, es_token)``; of a repeated ``(lang, token)`` the
+    least translation counts.
     The other columns of ``df`` stay; keep them narrow, they travel with each word
     when the lexicon is too large to be written into the plan.
     """
@@ -94,7 +96,7 @@ def lexicon_translate(df: DataFrame, keys: list[str], lexicon: DataFrame | None
     rows = inline_rows(lexicon)
     if rows is not None:
         by_language: dict[str, dict[str, str]] = {}
-        for row in rows:
+        for row in sorted(rows, key=lambda r: r["es_token"], reverse=True):  # the least is written last
             by_language.setdefault(row["lang"], {})[row["token"]] = row["es_token"]
         translated = F.col(text)
         for lang, words in by_language.items():
@@ -102,11 +104,12 @@ def lexicon_translate(df: DataFrame, keys: list[str], lexicon: DataFrame | None
             translated = F.when(F.col(language) == lang, F.array_join(replaced, "")).otherwise(translated)
         return df.select(*[c for c in df.columns if c != text], translated.alias(out))
 
-    words = lexicon.select(F.col("lang").alias(language), F.col("token").alias("_word"), "es_token")
+    words = lexicon.groupBy(F.col("lang").alias("_lang"), F.col("token").alias("_word")).agg(
+        F.min("es_token").alias("es_token"))
 
     def look_up(exploded: DataFrame) -> DataFrame:
-        with_word = exploded.withColumn("_word", F.lower("token"))
-        return lookup_join(with_word, words, [language, "_word"], "left", F.struct(*keys), max_broadcast_rows)
+        with_word = exploded.withColumn("_word", F.lower("token")).withColumn("_lang", F.col("_carried")[language])
+        return lookup_join(with_word, words, ["_lang", "_word"], "left", F.col("_row"), max_broadcast_rows)
 
     carried = [c for c in df.columns if c != text]
     pieces = rejoin_tokens(df, carried, _with_pieces(text), look_up, F.coalesce(F.col("es_token"), F.col("token")))

@@ -85,15 +85,17 @@ def _profiles() -> str:
             "totals as (select language, sum(n) as t from counts group by 1), "
             "vocab as (select distinct gram from counts), size as (select count(*) as v from vocab), "
             "profile as (select t.language, vocab.gram, cast(round(ln(cast(coalesce(n, 0) + 1 as double) / "
-            "cast(t.t + v as double)) * 1000000.0::double) as bigint) as score from totals t cross join size "
+            "cast(t.t + v as double)) * 1000000.0::double) as bigint) as score, coalesce(n, 0) > 0 as seen from totals t cross join size "
             "cross join vocab left join counts c on c.language = t.language and c.gram = vocab.gram)")
 
 
 def _detected() -> str:
     """Every trigram of these texts is in the profiles, which were fitted on them."""
     return (f"{_profiles()}, doc_counts as (select docname, gram, count(*) as n from grams group by all), "
-            "scores as (select docname, p.language, sum(n * score) as s from doc_counts join profile p using (gram) "
-            "group by all), detected as (select docname, language as detected_language from (select *, row_number() "
+            "scores as (select docname, p.language, sum(n * score) as s, sum(n) as total, "
+            "sum(case when seen then n else 0 end) as known from doc_counts join profile p using (gram) "
+            "group by all), detected as (select docname, case when known >= 0.6::double * total then language "
+            "else 'unknown' end as detected_language from (select *, row_number() "
             "over (partition by docname order by s desc, language) as r from scores) where r = 1)")
 
 

@@ -50,8 +50,11 @@ class ClassifierRun:
 
 def train_document_classifier(vectors: DataFrame, keys: list[str], label: str = "context", method: str = "softmax",
                               path: str | None = None, seed: int = SEED) -> ClassifierRun:
-    """Hold out one tenth, train on the rest, report on the hold-out; save when ``path`` is given."""
-    split = classification.holdout_split(vectors, keys, seed=seed)
+    """Hold out about one tenth, train on the rest, report on the hold-out; save when ``path`` is given.
+
+    Documents of one vector, copies above all, are on one side of the split.
+    """
+    split = classification.content_split(vectors, "document_embeddings", seed=seed)
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter("is_test").drop("is_test")
     model = classification.train_classifier(train, label, method=method, seed=seed)

@@ -17,7 +17,6 @@ from glotta.functions import tokens as token_fx
 from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, supported_languages
 from glotta.operators import classification, cleaning, language, normalization, profiling, topics, translation, vectors
 from glotta.operators.evaluation import classification_report
-from glotta.operators.joins import spread
 from glotta.operators.once import explode_tokens
 from glotta.plans import pipelines
 from glotta.scratch import materialize, new_path
@@ -27,6 +26,7 @@ from glotta.streaming.scoring import score_stream
 
 DOC = ["docname"]
 WORD_BOUND = 100_000
+SMALL_TABLE = 128 << 20
 
 
 # --- bindings of the given tables -------------------------------------------------------------------
@@ -35,14 +35,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The given table over all cores: its files are too few to split, and small enough to move.
+
+    By its size in bytes as the optimizer knows it; a larger table is left alone.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size <= SMALL_TABLE else df
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     bound = corpus_source.corpus_from_table(docs, "source", "lang", "doc_id", "text")
-    return spread(bound, "docname")
+    return dealt(bound, "docname")
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus without ``spread``, for queries that only count or scan."""
+    """The corpus as it is scanned, for queries that only count or scan."""
     return corpus_source.corpus_from_table(table(spark, sf_dir, "documents"), "source", "lang", "doc_id", "text")
 
 
@@ -155,7 +164,7 @@ def clean_pixels(spark, sf_dir):
 
 
 def clean_box_assign(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    pages = dealt(table(spark, sf_dir, "pages"), "page_id")
     return pages.select("page_id", text_fx.clean_box_assign(F.col("html")).alias("cleaned_text"))
 
 
@@ -164,7 +173,7 @@ def remove_long_words(spark, sf_dir):
 
 
 def remove_urls(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    pages = dealt(table(spark, sf_dir, "pages"), "page_id")
     wrapped = F.concat(F.lit("see "), F.col("url"), F.lit(" for more. "), F.col("html"))
     return pages.select("page_id", text_fx.remove_urls(wrapped).alias("cleaned_text"))
 
@@ -451,7 +460,7 @@ def label_centers(spark, sf_dir) -> dict[int, list[float]]:
     per_dim = (table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("dim", "x"))
                .groupBy("label", "dim").agg(F.avg(F.col("x").cast("double")).alias("x")))
     rows = per_dim.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("c")).select(
-        "label", F.col("c.x").alias("c")).limit(topics.MAX_TOPICS).collect()
+        "label", F.col("c.x").alias("c")).collect()
     return {r["label"]: r["c"] for r in rows}
 
 

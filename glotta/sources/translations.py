@@ -10,15 +10,14 @@ from glotta.sources.corpus import KEYS
 STORE_SCHEMA = "docname string, translated_text string, context string, language string"
 
 
-def write_translations(df: DataFrame, path: str, files_per_folder: int = 16, max_records: int = 1_000_000) -> None:
+def write_translations(df: DataFrame, path: str, max_records: int = 1_000_000) -> None:
     """Write the store partitioned by context and language.
 
-    Rows go to their folder's writers by ``(context, language, slice of the key
-    hash)``: few files per folder, and a folder holding a third of the corpus is
-    still written by ``files_per_folder`` tasks. A failed write fails the job.
+    Rows are rebalanced by folder: small folders share a task, and one that holds
+    a third of the corpus is split into as many as its size asks for. A failed
+    write fails the job.
     """
-    slice_ = F.pmod(F.xxhash64("docname"), F.lit(files_per_folder))
-    (df.select(*KEYS, "translated_text").repartition("context", "language", slice_)
+    (df.select(*KEYS, "translated_text").hint("rebalance", "context", "language")
        .write.mode("overwrite").option("maxRecordsPerFile", max_records)
        .partitionBy("context", "language").parquet(path))
 

@@ -34,7 +34,7 @@ def test_detects_and_keeps_rows_without_letters(spark, profiles):
     got = dict(detect_language(df, profiles, ["docname"]).collect())
     assert got["1"] == "en" and got["2"] == "es" and got["3"] == "fr"
     assert got["4"] is None and got["5"] is None and got["6"] is None
-    assert got["7"] is not None and len(got) == len(rows)
+    assert got["7"] == "unknown" and len(got) == len(rows)
 
 
 def test_shuffle_path_gives_the_same_labels(spark, profiles, sf_dir):

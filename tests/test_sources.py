@@ -35,7 +35,7 @@ def test_translation_store(spark, tmp_path):
     docs = spark.createDataFrame([("c", "fr", str(i), f"t{i}") for i in range(50)] + [("d", "en", "x", "y")],
                                  "context string, language string, docname string, translated_text string")
     path = str(tmp_path / "store")
-    translations.write_translations(docs, path, files_per_folder=4)
+    translations.write_translations(docs, path)
     read = translations.read_translations(spark, path)
     assert sorted(map(tuple, read.collect())) == sorted(map(tuple, docs.collect()))
     plan = read.filter("language = 'fr'")._jdf.queryExecution().toString()
