@@ -13,6 +13,7 @@ from glotta.scratch import materialize, new_path
 __all__ = ["materialize", "new_path"]
 
 BATCH_BYTES = 2 << 20
+SMALL_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +52,14 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
+def semi_join(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """Rows of ``big`` whose ``on`` is in the written table ``small``, which has that one column of longs.
+
+    Up to SMALL_ROWS rows (some 20 MB) are broadcast; beyond that a shuffled join does the same.
+    """
+    return big.join(F.broadcast(small) if small.count() <= SMALL_ROWS else small, on, "left_semi")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table once what was made from it has been written."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glotta.llm.common import connected_components, map_batches, materialize, pieces, table
+from glotta.llm.common import connected_components, map_batches, materialize, pieces, semi_join, table
 from glotta.llm.words import _BASE_INVERSE, mix, powers
 
 TAU = 2
@@ -206,7 +206,7 @@ def line_links(docs: DataFrame, text_col: str = "text", tau: int = TAU, shortest
     shared = hashed.groupBy("sketch").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo < hi")
     met = materialize(met.unionByName(shared.select(F.col("sketch").alias("s1"), F.col("sketch").alias("s2"))), "met")
     wanted = met.select(F.col("s1").alias("sketch")).unionByName(met.select(F.col("s2").alias("sketch"))).distinct()
-    texts = lines.join(wanted, "sketch", "left_semi").select("sketch", F.xxhash64("line").alias("h"), "line")
+    texts = semi_join(lines, materialize(wanted, "met-sketches"), "sketch").select("sketch", F.xxhash64("line").alias("h"), "line")
     texts = materialize(texts.dropDuplicates(["sketch", "h"]), "candidate-lines")
     one = texts.select(F.col("sketch").alias("s1"), F.col("h").alias("h1"), F.col("line").alias("l1"))
     two = texts.select(F.col("sketch").alias("s2"), F.col("h").alias("h2"), F.col("line").alias("l2"))

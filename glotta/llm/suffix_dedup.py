@@ -37,23 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glotta.llm.common import map_batches, materialize, pieces, table
+from glotta.llm.common import map_batches, materialize, pieces, semi_join, table
 from glotta.llm.words import _BASE_INVERSE, mix, powers
 
 LENGTH = 200
 KEY = 100
 BEFORE = LENGTH - KEY  # a window starts at most so far before its key
 BUCKET = 4096
-SMALL_ROWS = 1_000_000  # rows of one or two longs that are broadcast; beyond that a shuffled join does the same
 BLOCK = 1 << 20
 _POSITION_BITS = 22
 
 
-def _semi(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
-    """Rows of ``big`` with a match in the written table ``small``."""
-    return big.join(F.broadcast(small) if small.count() <= SMALL_ROWS else small, on, "left_semi")
-
-
 class _Hashed:
     """Prefix sums over bytes, for the hash of any part."""
 
@@ -321,11 +315,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = _sample_rows(long, positions=False)
     again = keys.groupBy("key").agg(F.min("tk").alias("lo"), F.max("tk").alias("hi"), F.max("n").alias("n"))
     again = materialize(again.filter("lo <> hi or n > 1").select("key"), "repeated-keys")
-    holders = materialize(_semi(keys, again, "key").select("tk").distinct(), "texts-with-repeats")
-    texts = materialize(_semi(long, holders, "tk").groupBy("tk").agg(F.first("text").alias("text")), "repeated-texts")
+    holders = materialize(semi_join(keys, again, "key").select("tk").distinct(), "texts-with-repeats")
+    texts = materialize(semi_join(long, holders, "tk").groupBy("tk").agg(F.first("text").alias("text")), "repeated-texts")
 
     # Their sampled positions, the different surroundings of each key.
-    hits = materialize(_semi(_sample_rows(texts, positions=True), again, "key"), "sampled-suffixes")
+    hits = materialize(semi_join(_sample_rows(texts, positions=True), again, "key"), "sampled-suffixes")
     arounds = hits.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"))
     sizes = arounds.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     arounds = materialize(arounds.join(sizes, "key"), "surroundings")

@@ -40,7 +40,7 @@ def dealt(df: DataFrame, key: str) -> DataFrame:
 
     By its size in bytes as the optimizer knows it; a larger table is left alone.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size <= SMALL_TABLE else df
 
 
