@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,13 +11,14 @@ from glotta import SEED
 from glotta.functions.text import strip_ends
 from glotta.operators.ranking import key_hash
 
+# The columns of the corpus and its key.
 CORPUS_COLUMNS = ["context", "language", "docname", "text"]
 KEYS = ["context", "language", "docname"]
 
 
-def _path_part(position: int) -> Column:
+def _path_part(path: Column, position: int) -> Column:
     # The path is URI-encoded, and `+` in a name is not an encoded space.
-    part = F.element_at(F.split(F.col("_metadata.file_path"), "/"), position)
+    part = F.element_at(F.split(path, "/"), position)
     name = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
     # A tree that Spark wrote names its folders `column=value`.
     return F.regexp_replace(name, "^(context|language|docname)=", "")
@@ -24,12 +27,25 @@ def _path_part(position: int) -> Column:
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
     """``<root>/<context>/<language>/<docname>`` files as one row each, text stripped at both ends.
 
-    Spark's file listing leaves out files of zero bytes; one with only white
-    space has an empty text.
+    Spark's readers leave out files of zero bytes; their names are listed apart
+    (names only, nothing is read) and added with an empty text.
     """
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
-    return files.select(_path_part(-3).alias("context"), _path_part(-2).alias("language"),
-                        _path_part(-1).alias("docname"), strip_ends(F.col("value")).alias("text"))
+    found = files.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_value"))
+    if empty := list(_empty_files(spark, root)):
+        found = found.unionByName(spark.createDataFrame([(p, "") for p in empty], found.schema))
+    return found.select(*[_path_part(F.col("_path"), n).alias(c) for n, c in zip((-3, -2, -1), KEYS)],
+                        strip_ends(F.col("_value")).alias("text"))
+
+
+def _empty_files(spark: SparkSession, root: str) -> Iterator[str]:
+    """The URIs of the files of zero bytes under ``root``, without marker and hidden files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
+            yield status.getPath().toUri().toString()
 
 
 def scan_hive_corpus(spark: SparkSession, root: str) -> DataFrame:

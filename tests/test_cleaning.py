@@ -17,6 +17,7 @@ def test_pixels(spark):
     assert got == ["thumb", "", "12 px", "ab", "x", "px|"]
 
 
+# The cleaning patterns that the expected values below come from.
 def test_box_assign(spark):
     values = ["name = Ana rest", "a|b", "x =y z", "ñu=1 k", "a==b", "= b", "a  = b", "a=b=c"]
     want = [re.sub(r"\w+\s?=\s?\w*|\|", "", v) for v in values]
@@ -31,6 +32,7 @@ def test_long_words(spark, letter):
 
 def test_urls(spark):
     values = ["see http://foo.com/a?b#c now", "https://www.x.org.", "ftp://foo.com", "http://foo.comé/x", "http://foo"]
+    # Fixed value: the URL pattern.
     pattern = (r"https?://(www\.)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b"
                r"([-a-zA-Z0-9()@:%_+.~#?&/=]*)")
     assert run(spark, fx.remove_urls, values) == [re.sub(pattern, "", v) for v in values]

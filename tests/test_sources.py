@@ -11,7 +11,7 @@ from glotta.operators import profiling
 
 def test_tree_scan(spark, tmp_path):
     files = {("Wiki", "es", "año nuevo.txt"): "  hola\nmundo \n\n", ("APR", "en", "a+b %20.txt"): " x y ",
-             ("PAN 11", "fr", "été"): " \n", ("APR", "en", "plain"): "one"}
+             ("PAN 11", "fr", "été"): " \n", ("APR", "en", "plain"): "one", ("Nil", "es", "nada é.txt"): "", ("Wiki", "es", "a+b"): ""}
     for (context, language, name), text in files.items():
         folder = tmp_path / "deep" / context / language
         os.makedirs(folder, exist_ok=True)
