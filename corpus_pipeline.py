@@ -8,6 +8,7 @@ stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from glotta.llm import decontamination, line_dedup, outliers, packing, simhash
 from glotta.llm.common import materialize, table
@@ -19,8 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines that repeat, up to a few edits, an earlier line of the corpus."""
-    return line_dedup.drop_repeated_lines(docs)
+    """Without lines that repeat, up to a few edits, an earlier line of the corpus; ``n_chars`` follows the text."""
+    left = line_dedup.drop_repeated_lines(docs)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
