@@ -9,8 +9,9 @@ byte. The last byte of a member is the high byte of its length, zero below
 Deduplication reads the headers, shuffles them (never bodies) by payload digest,
 elects the response of each digest with pre-aggregated maxima, joins the others
 to it, and writes new archives: responses whole, revisits with the HTTP header
-alone, all with fresh record ids and dates. Bodies move once, compressed, by
-their place in the archive, which no key can make uneven.
+alone, all with fresh record ids and dates. The revisits are broadcast to the
+bodies while there are FEW_REVISITS at most; beyond that bodies move once,
+compressed, by their place in the archive, which no key can make uneven.
 
 Defined results: a null payload is empty, a null id or URL has no header field
 and reads back as null, a null id is elected only among null ids, of records
@@ -38,6 +39,7 @@ from glotta.llm.common import map_batches, materialize, new_path, table
 DATE = "2024-01-01T00:00:00Z"
 MIN_PAYLOAD = 0
 PER_FILE = 5000
+FEW_REVISITS = 200_000  # some 40 MB to broadcast; beyond that bodies and revisits meet by a shuffle
 ID_FIELD = "X-Source-Id"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEADER = ("path string, number long, record_id string, record_type string, source_id long, target_uri string, "
@@ -189,8 +191,9 @@ def dedup_archives(spark: SparkSession, source: str, target: str, min_payload: i
                    date: str = DATE) -> None:
     """Write the archives at ``source`` anew at ``target``, repeated payloads as revisits."""
     headers = materialize(read_headers(spark, source), "warc-headers")
-    found = resolve_revisits(headers, min_payload).filter("response_record is not null").select(
-        "path", "number", "response_record", "response_uri")
+    found = materialize(resolve_revisits(headers, min_payload).filter("response_record is not null").select(
+        F.xxhash64("path").alias("file"), "number", "response_record", "response_uri"), "warc-revisits")
+    few = found.count() <= FEW_REVISITS  # then the bodies need not move at all
 
     def read(batch: pa.RecordBatch):
         for path_, content in zip(*(batch.column(i) for i in (0, 1))):
@@ -221,7 +224,8 @@ def dedup_archives(spark: SparkSession, source: str, target: str, min_payload: i
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
     bodies = map_batches(_files(spark, source), read, "path string, number long, member binary")
-    joined = bodies.join(found, ["path", "number"], "left")
+    joined = bodies.select(F.xxhash64("path").alias("file"), "number", "member").join(
+        F.broadcast(found) if few else found, ["file", "number"], "left")
     _write(map_batches(joined, renew, "member binary"), target)
 
 

@@ -30,7 +30,9 @@ def pages():
             (5, "c", "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc", 0, ""), (6, "d", " ", 0, "")]
 
 
-def test_odd_rows_survive_the_round_trip(spark, pages):
+@pytest.mark.parametrize("few", [warc.FEW_REVISITS, 0])
+def test_odd_rows_survive_the_round_trip(spark, pages, monkeypatch, few):
+    monkeypatch.setattr(warc, "FEW_REVISITS", few)
     first, second = new_path(spark, "warc-a"), new_path(spark, "warc-b")
     warc.write_archives(spark.createDataFrame(pages, PAGES).repartition(3), first)
     warc.dedup_archives(spark, first, second)
