@@ -38,7 +38,7 @@ def test_quality_rules(spark, sf_dir, stages):
     assert {x for x in pairs(before) - failed if labels.get(x[0]) == 1} <= kept
 
 
-def test_line_dedup(stages):
+def test_line_dedup_stage(stages):
     _, before, after = stages[1]
     docs = [(r.doc_id, r.text) for r in before.collect()]
     gone = {}
@@ -54,7 +54,7 @@ def test_line_dedup(stages):
     assert all(r.n_chars == len(r.text) for r in after.collect())
 
 
-def test_simhash(stages):
+def test_simhash_stage(stages):
     _, before, after = stages[2]
     rows = [(r.doc_id, test_simhash.brute_fingerprint(r.text)) for r in before.collect()]
     components = test_simhash.brute_components(rows)
