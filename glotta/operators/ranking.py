@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glotta.scratch import materialize
+
 BUCKET_HEX_DIGITS = 4  # 16^4 = 65,536 hash ranges
 
 
@@ -41,6 +43,25 @@ def hash_rank(df: DataFrame, keys: list[str], seed: int, within: list[str] | Non
     return ranked.withColumn(out, (F.col("_local") + F.col("_offset")).cast("bigint")).select(*df.columns, out)
 
 
+def order_rank(df: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:
+    """Number the rows 1..n in the given order, which must have no ties.
+
+    Rows are dealt into ranges of the order and ranked inside each; the sizes of
+    the preceding ranges are added. The ranges are written, as a second run of
+    their sampling could deal them otherwise.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "order-ranges")
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    offsets = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(*order)
+    ranked = ranged.withColumn("_local", F.row_number().over(inside)).join(F.broadcast(offsets), "_range")
+    return ranked.withColumn(out, (F.col("_local") + F.col("_offset")).cast("bigint")).select(*df.columns, out)
+
+
 def first_by_hash(df: DataFrame, keys: list[str], seed: int, count: Column) -> DataFrame:
     """Flag exactly the first ``count`` rows in hash order in a column ``selected``.
 

@@ -18,6 +18,7 @@ from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, support
 from glotta.operators import classification, cleaning, language, normalization, profiling, topics, translation, vectors
 from glotta.operators.evaluation import classification_report
 from glotta.operators.once import explode_tokens
+from glotta.operators.ranking import order_rank
 from glotta.plans import pipelines
 from glotta.scratch import materialize, new_path
 from glotta.sources import corpus as corpus_source
@@ -25,7 +26,6 @@ from glotta.sources import models, translations, word_vectors
 from glotta.streaming.scoring import score_stream
 
 DOC = ["docname"]
-WORD_BOUND = 100_000
 SMALL_TABLE = 128 << 20
 
 
@@ -72,16 +72,11 @@ def lemmas(spark, sf_dir) -> DataFrame:
 def bound_word_vectors(spark, sf_dir) -> DataFrame:
     """The word of frequency rank r gets vector r - 1: one row per given vector.
 
-    The rank runs over the most frequent words only, as many as there are
-    vectors, and each task keeps no more than that before the shuffle.
+    All words are ranked, in ranges of their order, whatever their number.
     """
     vecs = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    n = vecs.count()
-    if n > WORD_BOUND:
-        raise ValueError(f"{n} vectors: rank-binding is for vocabularies of at most {WORD_BOUND} words")
-    top = profiling.word_frequencies_top(normalized(spark, sf_dir), n)
-    by_rank = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "word")
-    ranked = top.select("word", (F.row_number().over(by_rank) - 1).cast("bigint").alias("vec_id"))
+    ranked = order_rank(profiling.word_frequencies(normalized(spark, sf_dir)), [F.desc("n"), F.col("word")])
+    ranked = ranked.select("word", (F.col("rank") - 1).alias("vec_id"))
     return materialize(ranked.join(vecs, "vec_id").select("word", "embedding"), "bound-word-vectors")
 
 

@@ -3,7 +3,8 @@ import math
 
 import pytest
 
-from glotta.operators.ranking import first_by_hash, hash_rank
+from glotta.operators.ranking import first_by_hash, hash_rank, order_rank
+from glotta.plans import registry
 from pyspark.sql import functions as F
 
 
@@ -33,3 +34,25 @@ def test_first_by_hash_takes_exactly_the_share(spark, n):
     assert len(got) == n
     want = set(order(list(range(n)), 53)[:math.ceil(0.1 * n)])
     assert {r["k"] for r in got if r["selected"]} == want
+
+
+def test_order_rank_of_many_ties(spark):
+    rows = [(f"w{i}", 1 if i % 10 else i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "word string, n long")
+    got = order_rank(df, [F.desc("n"), F.col("word")])
+    assert got.columns == ["word", "n", "rank"]
+    want = {r: k for k, r in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), start=1)}
+    assert {(r["word"], r["n"]): r["rank"] for r in got.collect()} == want
+    assert order_rank(df.limit(0), [F.desc("n"), F.col("word")]).count() == 0
+
+
+def test_more_vectors_than_the_old_bound(spark, sf_dir, tmp_path):
+    given = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    more = spark.range(120_000).select(F.col("id").cast(given.schema["vec_id"].dataType).alias("vec_id"),
+                                       F.array(F.col("id").cast("float")).alias("embedding"))
+    more.write.parquet(f"{tmp_path}/embeddings.parquet")
+    (tmp_path / "documents.parquet").symlink_to(f"{sf_dir}/documents.parquet")
+    counts = registry.word_frequencies(spark, str(tmp_path)).collect()
+    words = [r["word"] for r in sorted(counts, key=lambda r: (-r["n"], r["word"]))]
+    bound = {r["word"]: r["embedding"][0] for r in registry.bound_word_vectors(spark, str(tmp_path)).collect()}
+    assert bound == {w: float(k) for k, w in enumerate(words)}
