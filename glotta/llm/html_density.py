@@ -5,12 +5,14 @@ adjusted by its share of link characters and link tags and by that of the body
 (the composite text density), and the sum of the densities of its children. The
 node with the largest sum carries the article; the least density on its path to
 the body is the threshold from which other nodes count as content too, each
-with the maximum-sum node of its own subtree.
+with the maximum-sum node of its own subtree. Of the article or main element
+around the maximum-sum node, or the outermost element below the body that holds
+only text beside it, the whole rest is kept too, however sparse.
 
 Elements that are no running text by their name, role or class (menus, page
 headers, footers, sidebars, adverts, notices, forms, reader comments, scripts,
 styles) are left out before densities are counted, and lists that are mostly
-links after.
+links after, if they are outside articles.
 
 Defined results: a null page is empty and has an empty text, null ids and URLs
 are carried, repeated rows give a row each, broken markup is read as far as it
@@ -61,6 +63,7 @@ WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sponsor
             "widgets copyright skip toolbar pagination pager toc".split())
 KEPT = {"html", "body", "article", "main"}
 LINK_SHARE = 0.6
+LINKED = {"ul", "ol", "dl", "table", "div", "section"}
 
 
 class Page:
@@ -218,6 +221,43 @@ def densities(page: Page) -> tuple[list[float], list[float], list[int], list[int
     return density, total, chars, link_chars
 
 
+def _whole(page: Page, chosen: int, body: int, chars: list[int], link_chars: list[int]) -> list[int]:
+    """The nodes whose subtrees are the article that the chosen node is a part of.
+
+    Its outermost article or main element; without one, the outermost ancestor
+    below the body that holds nothing but text beside the path to it (lists of
+    links are dropped anyway). Of the body's other children its main headings
+    count, and further sections beside a section.
+    """
+    path = [chosen]
+    while chosen > body and page.parent[path[-1]] > body:
+        path.append(page.parent[path[-1]])
+    if chosen <= body:
+        return [chosen]
+    named = [i for i in path if page.name[i] in ("article", "main")]
+    if named:
+        return [named[-1]]
+    children: dict[int, list[int]] = {i: [] for i in path}
+    beside = []
+    for i in range(body + 1, len(page.name)):
+        if chars[i] and not page.dropped[i]:
+            if page.parent[i] in children:
+                children[page.parent[i]].append(i)
+            elif page.parent[i] == body:
+                beside.append(i)
+
+    def text(i: int) -> bool:
+        return page.name[i] in LINKED or page.name[i] in INLINE or link_chars[i] <= LINK_SHARE * chars[i]
+
+    top = 0
+    while top + 1 < len(path) and all(text(i) for i in children[path[top + 1]]):
+        top += 1
+    if top + 1 < len(path):
+        return [path[top]]
+    wanted = {"h1", "hgroup"} | ({"section"} if page.name[path[top]] == "section" else set())
+    return [path[top], *(i for i in beside if page.name[i] in wanted)]
+
+
 def content_nodes(page: Page) -> list[bool]:
     """Which nodes belong to the main text."""
     density, total, chars, link_chars = densities(page)
@@ -236,13 +276,14 @@ def content_nodes(page: Page) -> list[bool]:
             threshold = min(threshold, density[node])
         node = page.parent[node]
     inside = [False] * n
-    inside[chosen] = True
+    for node in _whole(page, chosen, body, chars, link_chars):
+        inside[node] = True
     for i in range(n):
         if not page.dropped[i] and chars[i] and density[i] >= threshold and i >= body:
             inside[best[i]] = True
     for i in range(1, n):
         p = page.parent[i]
-        linked = page.name[i] in ("ul", "ol", "dl", "table", "div", "section") and link_chars[i] > LINK_SHARE * chars[i]
+        linked = not page.in_article[i] and page.name[i] in LINKED and link_chars[i] > LINK_SHARE * chars[i]
         inside[i] = (inside[i] or inside[p]) and not page.dropped[i] and not linked
         if linked:
             page.dropped[i] = True

@@ -73,3 +73,22 @@ def test_query_equals_the_articles(spark, sf_dir):
     assert len(rows) == len(pages)
     for r in rows:
         assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, article(pages[r.page_id].html), len(r.text))
+
+
+def paragraphs(n, size):
+    return "".join(f"<p>{('text ' * size)[:size - 1]}.</p>" for _ in range(n))
+
+
+SECTIONED = f"<h1>A title of 20 chars.</h1><section>{paragraphs(5, 300)}</section><section>{paragraphs(3, 60)}</section>"
+
+
+@pytest.mark.parametrize("page, blocks", [
+    (f"<body><article>{SECTIONED}</article></body>", 9), (f"<body><main><div>{SECTIONED}</div></main></body>", 9),
+    (f"<body><div>{SECTIONED}</div></body>", 9), (f"<body>{SECTIONED}</body>", 9),
+    (f"<body><div><h1>The title</h1><div>{paragraphs(5, 300)}</div></div></body>", 6),
+    (f"<body><h1>The title</h1><div>{paragraphs(5, 300)}</div></body>", 6),
+    (f"<body><article>{paragraphs(5, 300)}<ul><li><a href='x'>A source</a></li></ul></article></body>", 6),
+    (f"<body><div>{paragraphs(5, 300)}</div><ul><li><a href='x'>A menu</a></li></ul></body>", 5),
+])
+def test_articles_in_parts_are_whole(page, blocks):
+    assert len(hd.main_text(page).split("\n\n")) == blocks
