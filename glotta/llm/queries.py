@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from glotta.llm import (compact_windows, decontamination, html_density, line_dedup, outliers, packing, pii, simhash,
+from glotta.llm import (byte_bpe, compact_windows, decontamination, html_density, line_dedup, outliers, packing, pii, simhash,
                         suffix_dedup, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_reduced_best_fit_packing": packing.op8_reduced_best_fit_packing,
     "op10_segment_line_join": line_dedup.op10_segment_line_join,
     "op9_covering_simhash": simhash.op9_covering_simhash,
+    "op13_segment_tree_bpe": byte_bpe.op13_segment_tree_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
