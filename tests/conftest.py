@@ -10,7 +10,7 @@ from glotta.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("local[8]", 8, "16g")
+    session = build_session("local[8]", 8, "4g")
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
         session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
