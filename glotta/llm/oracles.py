@@ -63,6 +63,43 @@ def merkle_manifest() -> str:
             f"from q{ROOT_LEVELS} q join subroots s on s.rank = q.up join b{ROOT_LEVELS} r on true")
 
 
+def prefix_trie() -> str:
+    ctes = [
+        "raw as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations "
+        "where conv_id is not null)",
+        "told as (select conv_id, turn, sha256(strlen(role) || ':' || role || text)[1:32] as id, "
+        "len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words from raw)",
+        "turns as (select conv_id, id, words, row_number() over (partition by conv_id order by turn nulls first, id, words) "
+        "as pos, count(*) over (partition by conv_id) as n from told)",
+        f"convs as (select distinct conv_id, conv_id - conv_id % 20 as host, {crc32('conv_id::varchar')} % 4 as h from turns)",
+        "sized as (select c.*, least(h, coalesce(t.n, 0)) as begun from convs c left join turns t "
+        "on t.conv_id = c.host and t.pos = 1)",
+        "rebuilt as (select c.conv_id, t.pos as depth, t.id, t.words from sized c join turns t on t.conv_id = c.host "
+        "and t.pos <= c.h union all select c.conv_id, t.pos - c.h + c.begun, t.id, t.words from sized c join turns t "
+        "on t.conv_id = c.conv_id and t.pos > c.h)",
+        "paths as (select c.conv_id, coalesce(list(r.id order by r.depth) filter (r.id is not null), []) as ids, "
+        "list(r.words order by r.depth) filter (r.id is not null) as words from convs c left join rebuilt r "
+        "on r.conv_id = c.conv_id group by c.conv_id)",
+        "members as (select conv_id, depth, array_to_string(ids[:depth], '') as node, "
+        "array_to_string(ids[:depth - 1], '') as above, coalesce(words[depth], 0) as words, depth = len(ids) as ends "
+        "from (select *, unnest(range(len(ids) + 1)) as depth from paths))",
+        "nodes as (select node, depth, any_value(above) as above, any_value(words) as words, min(conv_id) as conv_id, "
+        "count(*) as n_convs, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) "
+        "as ends_sha256 from members group by node, depth)",
+        "children as (select above as node, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all)",
+        "full_nodes as (select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c "
+        "on c.node = n.node and c.depth = n.depth)",
+        "sums as (select m.node, m.depth, count(*) filter (u.n_children = 0) as n_leaves, "
+        "sum((u.n_convs - 1) * u.words) as saved_tokens from full_nodes u join members m on m.conv_id = u.conv_id "
+        "and m.depth <= u.depth group by all)",
+    ]
+    return (f"with {', '.join(ctes)} select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, "
+            "s.n_leaves, s.saved_tokens::bigint as saved_tokens, n.ends_sha256 from full_nodes n "
+            "join sums s on s.node = n.node and s.depth = n.depth "
+            "left join nodes p on p.node = n.above and p.depth = n.depth - 1")
+
+
 ORACLE_SQL = {
+    "op11_splitter_skeleton_trie": prefix_trie(),
     "op12_merkle_manifest": merkle_manifest(),
 }

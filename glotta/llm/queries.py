@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from glotta.llm import (byte_bpe, compact_windows, decontamination, html_density, line_dedup, merkle, outliers, packing,
-                        pii, simhash, suffix_dedup, warc)
+                        pii, prefix_trie, simhash, suffix_dedup, warc)
 from glotta.llm.oracles import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -19,6 +19,7 @@ QUERIES = {
     "op8_reduced_best_fit_packing": packing.op8_reduced_best_fit_packing,
     "op10_segment_line_join": line_dedup.op10_segment_line_join,
     "op9_covering_simhash": simhash.op9_covering_simhash,
+    "op11_splitter_skeleton_trie": prefix_trie.op11_splitter_skeleton_trie,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "op13_segment_tree_bpe": byte_bpe.op13_segment_tree_bpe,
 }
