@@ -7,8 +7,9 @@ leaves, each with one walk to the root, until the root holds no pair: a pre-toke
 of n bytes takes O(n log n) steps, however long it is.
 
 Texts are cut into pre-tokens as the vocabulary's file says, with the strings of
-its added tokens cut out first. Ids of pre-tokens are kept per task, up to a
-number of bytes; a kept entry changes no result. Long texts go through in blocks.
+its added tokens cut out first. The vocabulary is read on the driver and
+broadcast; a worker keeps the ids of pre-tokens beside it from task to task, up to
+a bound, and a kept entry changes no result. Long texts go through in blocks.
 
 Defined results: a null text is empty and has no ids, which decode to an empty
 text; ids outside the vocabulary decode to nothing and bytes that are not UTF-8
@@ -27,13 +28,14 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glotta.llm.common import map_batches_with, pieces, table
+from glotta.llm.common import map_batches, pieces, table
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_BYTES = 32 << 20  # of pre-tokens whose ids are kept per task
+KEPT_WORDS, KEPT_BYTES = 600_000, 16 << 20  # of pre-tokens whose ids a worker keeps
 BLOCK_TOKENS = 1 << 18  # pre-tokens of one text that are in memory at once
 
 # How byte-level vocabularies cut a text; \s there is Unicode white space.
@@ -97,6 +99,7 @@ class ByteBpe:
         self.kept: dict[str, bytes] = {}
         self.kept_bytes = 0
         self._token_bytes(vocabulary)
+        self.decimal = [b"%d" % i for i in range(len(self.width))]
 
     def _token_bytes(self, vocabulary: dict[str, int]) -> None:
         """All tokens' bytes in one buffer, with the place of each id."""
@@ -140,7 +143,7 @@ class ByteBpe:
         return [i for i in ids if i >= 0]
 
     def _learn(self, words: set[str]) -> None:
-        if self.kept_bytes > KEPT_BYTES:
+        if len(self.kept) > KEPT_WORDS or self.kept_bytes > KEPT_BYTES:
             self.kept.clear()
             self.kept_bytes = 0
         for word in words.difference(self.kept):
@@ -173,17 +176,20 @@ class ByteBpe:
         return self.buffer[at].tobytes()
 
 
-def _loaded(vocabulary: str | None) -> ByteBpe:
+def _shared(df: DataFrame, vocabulary: str | None) -> Broadcast[ByteBpe]:
+    """The vocabulary of a file, some 50,000 tokens, once per worker."""
     import public_tokenizers
 
-    return ByteBpe(vocabulary or public_tokenizers.path(VOCABULARY))
+    return df.sparkSession.sparkContext.broadcast(ByteBpe(vocabulary or public_tokenizers.path(VOCABULARY)))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """``(id_col, ids)``: the token ids of every text. ``vocabulary`` is the path of a tokenizer file on the executors."""
+    """``(id_col, ids)``: the token ids of every text. ``vocabulary`` is the path of a tokenizer file."""
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    shared = _shared(chosen, vocabulary)
 
-    def fn(bpe: ByteBpe, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def fn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bpe = shared.value
         for first, texts in pieces(batch, "text"):
             rows = [np.concatenate([np.empty(0, "<u4"), *bpe.encode(t.decode("utf-8", "replace"))]) for t in texts]
             ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()),
@@ -191,21 +197,23 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), ids], names=["id", "ids"])
 
     schema = f"id {dict(chosen.dtypes)['id']}, ids array<int>"
-    return map_batches_with(chosen, lambda: _loaded(vocabulary), fn, schema).withColumnRenamed("id", id_col)
+    return map_batches(chosen, fn, schema).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
     """``(id_col, text)``: the text of every array of ids; a null array is an empty one."""
     chosen = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
+    shared = _shared(chosen, vocabulary)
 
-    def fn(bpe: ByteBpe, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def fn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bpe = shared.value
         for i, ids in enumerate(batch.column(1)):
             known = [] if ids.values is None else ids.values.drop_null().to_numpy(zero_copy_only=False)
             text = bpe.token_bytes(np.asarray(known, dtype=np.int64)).decode("utf-8", "replace")
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([text])], names=["id", "text"])
 
     schema = f"id {dict(chosen.dtypes)['id']}, text string"
-    return map_batches_with(chosen, lambda: _loaded(vocabulary), fn, schema).withColumnRenamed("id", id_col)
+    return map_batches(chosen, fn, schema).withColumnRenamed("id", id_col)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -216,9 +224,10 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the text that the ids decode to, in UTF-8. Neither ids nor texts leave the task.
     """
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    shared = _shared(chosen, vocabulary)
 
-    def fn(bpe: ByteBpe, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        decimal = bpe.__dict__.setdefault("decimal", [b"%d" % i for i in range(len(bpe.width))])
+    def fn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bpe = shared.value
         rows = []
         for _, texts in pieces(batch, "text"):
             for text in texts:
@@ -226,7 +235,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 decoder = codecs.getincrementaldecoder("utf-8")("replace")
                 for ids in bpe.encode(text.decode("utf-8", "replace")):
                     if len(ids):
-                        listed.update((b"," if n else b"") + b",".join(map(decimal.__getitem__, ids.tolist())))
+                        listed.update((b"," if n else b"") + b",".join(map(bpe.decimal.__getitem__, ids.tolist())))
                         n += len(ids)
                     decoded.update(decoder.decode(bpe.token_bytes(ids)).encode())
                 decoded.update(decoder.decode(b"", True).encode())
@@ -236,7 +245,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                           pa.array(decoded)], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = f"id {dict(chosen.dtypes)['id']}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches_with(chosen, lambda: _loaded(vocabulary), fn, schema).withColumnRenamed("id", id_col)
+    return map_batches(chosen, fn, schema).withColumnRenamed("id", id_col)
 
 
 def op13_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,19 +52,6 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
-def map_batches_with(df: DataFrame, make: Callable[[], object],
-                     fn: Callable[[object, pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``map_batches`` with a helper that each task makes once, such as a tokenizer."""
-
-    def run(batches):
-        helper = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield from fn(helper, batch)
-
-    return df.mapInArrow(run, schema)
-
-
 def semi_join(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
     """Rows of ``big`` whose ``on`` is in the written table ``small``, which has that one column of longs.
 
