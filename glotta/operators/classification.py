@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glotta import SEED
+from glotta.operators.boosting import BoostedClassifier, class_probabilities, train_boosted
 from glotta.operators.ranking import first_by_hash
 from glotta.operators.vectors import to_features
 
@@ -62,15 +63,20 @@ class TrainedClassifier:
 
 
 def train_classifier(train: DataFrame, label: str = "context", vectors: str = "document_embeddings",
-                     method: str = "softmax", seed: int = SEED, rounds: int | None = None) -> TrainedClassifier:
+                     method: str = "softmax", seed: int = SEED, rounds: int | None = None,
+                     test: DataFrame | None = None) -> TrainedClassifier | BoostedClassifier:
     """Fit a multi-class model on ``vectors``.
 
     ``softmax``: multinomial logistic regression, one joint softmax over the
-    classes. ``trees``: one-vs-rest boosted trees of depth 2, step 1, 20 rounds.
-    The training data is cached for the length of the fit.
+    classes. ``boosted``: trees of depth 2, step 1, 20 rounds under one joint
+    softmax; the losses of ``test`` are kept too. ``trees``: the same settings
+    one-vs-rest. For the MLlib models the training data is cached for the fit.
     """
     labelled = train.filter(F.col(label).isNotNull())
     indexer = class_indexer(labelled, label, "_code")
+    if method == "boosted":
+        return train_boosted(labelled, list(indexer.labels), label, vectors, test, rounds or TREE_ROUNDS, TREE_DEPTH,
+                             TREE_STEP)
     prepared = to_features(indexer.transform(labelled), vectors).select("features", F.col("_code").alias("label"))
     prepared = prepared.persist()
     try:
@@ -103,24 +109,32 @@ def _class_probability(scored: DataFrame) -> Column:
     return F.lit(1.0) / F.aggregate(raw, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
 
 
-def predict_class(df: DataFrame, model: TrainedClassifier | PipelineModel, keep: list[str],
+def predict_class(df: DataFrame, model: TrainedClassifier | PipelineModel | BoostedClassifier, keep: list[str],
                   vectors: str = "document_embeddings") -> DataFrame:
-    """``keep`` plus ``class_`` and ``probability`` of the most probable class."""
+    """``keep`` plus ``class_`` and ``probability`` of the most probable class, of equal ones the first."""
+    if isinstance(model, BoostedClassifier):
+        scored = df.select(*keep, class_probabilities(model, F.col(vectors)).alias("_p"))
+        top = F.array_max("_p")
+        return scored.select(*keep, F.get(F.lit(model.labels), F.array_position("_p", top).cast("int") - 1).alias("class_"),
+                             top.alias("probability"))
     pipeline = model.pipeline if isinstance(model, TrainedClassifier) else model
     scored = pipeline.transform(to_features(df, vectors))
     return scored.select(*keep, "class_", _class_probability(scored).alias("probability"))
 
 
-def training_curve(model: TrainedClassifier, train: DataFrame, test: DataFrame, label: str = "context",
-                   vectors: str = "document_embeddings") -> DataFrame:
+def training_curve(model: TrainedClassifier | BoostedClassifier, train: DataFrame, test: DataFrame,
+                   label: str = "context", vectors: str = "document_embeddings") -> DataFrame:
     """``(class_, round, dataset, loss)`` after each boosting round of a tree model.
 
-    For a softmax model: the training objective per iteration, with a NULL class
-    (the test objective is not kept by the optimizer).
+    For a joint model: its log-loss over all classes (NULL class) as noted while
+    it was trained. For a softmax model: the training objective per iteration,
+    with a NULL class (the test objective is not kept by the optimizer).
     """
     spark = train.sparkSession
-    fitted = model.pipeline.stages[0]
     schema = "class_ string, round int, dataset string, loss double"
+    if isinstance(model, BoostedClassifier):
+        return spark.createDataFrame([(None, r, name, loss) for r, name, loss in model.losses], schema)
+    fitted = model.pipeline.stages[0]
     if not isinstance(fitted, OneVsRestModel):
         history = fitted.summary.objectiveHistory if fitted.hasSummary else []
         return spark.createDataFrame([(None, i, "train", float(v)) for i, v in enumerate(history)], schema)

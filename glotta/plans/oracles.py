@@ -387,6 +387,14 @@ def _builders() -> dict[str, Callable[[], str]]:
         "corpus_stats": lambda: _with(
             _lemmas(), "select 'unique_tokens' as stat, count(distinct lemma) as value from lemma_rows "
             "union all select 'documents', count(distinct docname) from lemma_rows"),
+        "isotonic_calibration": lambda: _with(
+            "scored as (select quality, n_chars / (n_chars + 1000)::double as score from labels join documents using (doc_id)), "
+            "c as (select least(floor(score * 64), 63)::bigint as bin, count(*) as n, count(*) filter (quality = 1) as positives "
+            "from scored where score is not null group by 1), "
+            "means as (select s.bin as s, e.bin as e, sum(i.positives) / sum(i.n) as mean from c s join c e on s.bin <= e.bin "
+            "join c i on i.bin between s.bin and e.bin group by all), "
+            "least_means as (select bin, s, min(mean) as least from c join means on bin between s and e group by all)",
+            "select bin, n, positives, round(max(least), 6) as rate from c join least_means using (bin) group by all"),
         "topic_word_weights": lambda: _with(
             f"{_normalized()}{weights}, r as (select *, row_number() over (partition by topic order by weight desc, "
             "word) as rank, max(weight) over (partition by topic) as top from w)",

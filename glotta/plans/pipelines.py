@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from glotta import SEED
 from glotta.operators import classification, evaluation, topics
+from glotta.operators.boosting import BoostedClassifier
 from glotta.operators.cleaning import clean_text
 from glotta.operators.language import LanguageProfiles, detect_language
 from glotta.operators.normalization import (lemmatize_pos_filter, nonempty_lemmas, normalize_documents, stem_documents)
@@ -42,7 +43,7 @@ def labelled_vectors(corpus: DataFrame, store: DataFrame, word_vectors: DataFram
 
 @dataclass(frozen=True)
 class ClassifierRun:
-    model: classification.TrainedClassifier
+    model: classification.TrainedClassifier | BoostedClassifier
     train: DataFrame
     test: DataFrame
     report: DataFrame
@@ -57,14 +58,14 @@ def train_document_classifier(vectors: DataFrame, keys: list[str], label: str =
     split = classification.content_split(vectors, "document_embeddings", seed=seed)
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter("is_test").drop("is_test")
-    model = classification.train_classifier(train, label, method=method, seed=seed)
+    model = classification.train_classifier(train, label, method=method, seed=seed, test=test)
     report = evaluate(test, model, label)
     if path is not None:
-        save_model(model.pipeline, path, test)
+        save_model(model, path, test)
     return ClassifierRun(model, train, test, report)
 
 
-def evaluate(test: DataFrame, model: classification.TrainedClassifier | PipelineModel,
+def evaluate(test: DataFrame, model: classification.TrainedClassifier | PipelineModel | BoostedClassifier,
              label: str = "context") -> DataFrame:
     predicted = classification.predict_class(test, model, [label])
     return evaluation.classification_report(predicted, label, "class_")
@@ -76,7 +77,7 @@ def evaluate_saved(spark, path: str, label: str = "context") -> DataFrame:
 
 
 def score_documents(df: DataFrame, keys: list[str], profiles: LanguageProfiles, word_vectors: DataFrame,
-                    model: classification.TrainedClassifier | PipelineModel, lexicon: DataFrame | None = None,
+                    model: classification.TrainedClassifier | PipelineModel | BoostedClassifier, lexicon: DataFrame | None = None,
                     text: str = "text") -> DataFrame:
     """Clean, detect, translate, normalise, embed and classify raw texts.
 

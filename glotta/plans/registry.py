@@ -12,10 +12,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glotta import SEED
 from glotta.functions import text as text_fx
 from glotta.functions import tokens as token_fx
 from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, supported_languages
-from glotta.operators import classification, cleaning, language, normalization, profiling, topics, translation, vectors
+from glotta.operators import (calibration, classification, cleaning, language, normalization, profiling, topics,
+                              translation, vectors)
 from glotta.operators.evaluation import classification_report
 from glotta.operators.once import explode_tokens
 from glotta.operators.ranking import order_rank
@@ -135,10 +137,32 @@ def translated_only(spark, sf_dir):
 def model_save_load(spark, sf_dir):
     data = labelled(spark, sf_dir)
     path = new_path(spark, "classifier")
-    models.save_model(classification.train_classifier(data, "label").pipeline, path)
+    models.save_model(classification.train_classifier(data, "label"), path)
     return classification.predict_class(data, models.load_model(path), ["docname", "label"])
 
 
+def model_store(spark, sf_dir):
+    """``(model, n, equal)``: rows that a joint classifier, K-means and LDA give after loading, and how many are as before."""
+    data = labelled(spark, sf_dir)
+    boosted = classification.train_classifier(data, "label", method="boosted")
+    kmeans = topics.train_kmeans(data)
+    lda = _lda(spark, sf_dir)[0]
+    uses = [("boosted", boosted, lambda m: classification.predict_class(data, m, DOC), DOC),
+            ("kmeans", kmeans, lambda m: topics.assign_topics(data, m, DOC), DOC),
+            ("lda", lda, topics.describe_topics, ["topic", "rank"])]
+    out = None
+    for name, model, use, keys in uses:
+        path = new_path(spark, f"model-{name}")
+        models.save_model(model, path)
+        rest = lambda df: df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias("rest"))  # noqa: B023, E731
+        before, after = rest(use(model)), rest(use(models.load_model(path))).withColumnRenamed("rest", "again")
+        found = before.join(after, keys, "full").agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("rest").eqNullSafe(F.col("again")).cast("long")).alias("equal"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def sample_n(spark, sf_dir):
     return corpus_source.sample_n(raw_documents(spark, sf_dir), 10, DOC).select("docname", "language")
 
@@ -383,6 +407,43 @@ def train_classifier_trees(spark, sf_dir):
     return _run(spark, sf_dir, "trees").report
 
 
+def train_classifier_boosted(spark, sf_dir):
+    return _run(spark, sf_dir, "boosted").report
+
+
+def training_curve_boosted(spark, sf_dir):
+    """Log-loss of the joint model on training and test rows after each round."""
+    run = _run(spark, sf_dir, "boosted")
+    return classification.training_curve(run.model, run.train, run.test, "label").drop("class_")
+
+
+def _calibrated(spark, sf_dir):
+    """A joint model, its lines fitted to half of the rows that it has not seen, and the other half."""
+    run = _run(spark, sf_dir, "boosted")
+    held = classification.content_split(run.test, "document_embeddings", 0.5, seed=SEED + 1)
+    fit, rest = (held.filter(c).drop("is_test") for c in (~F.col("is_test"), F.col("is_test")))
+    return run, calibration.calibrate(run.model, fit, "label"), rest
+
+
+def predict_class_calibrated(spark, sf_dir):
+    run, model, _ = _calibrated(spark, sf_dir)
+    return calibration.predict_calibrated(run.train.unionByName(run.test), model, ["docname", "label"])
+
+
+def calibration_reliability(spark, sf_dir):
+    _, model, rest = _calibrated(spark, sf_dir)
+    return calibration.reliability(rest, model, "label")
+
+
+def isotonic_calibration(spark, sf_dir):
+    """Quality against a score that grows with the length of a document, calibrated bin by bin."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / (F.col("n_chars") + 1000)).alias("score"))
+    both = table(spark, sf_dir, "labels").join(docs, "doc_id")
+    counts = calibration.score_counts(both, [], "score", F.col("quality") == 1, 64)
+    return calibration.isotonic(materialize(counts, "score-counts")).select(
+        F.col("bin").cast("bigint").alias("bin"), "n", "positives", F.round("rate", 6).alias("rate"))
+
+
 def training_curve(spark, sf_dir):
     run = _run(spark, sf_dir, "trees")
     return classification.training_curve(run.model, run.train, run.test, "label")
@@ -562,6 +623,7 @@ QUERIES = {
     "translation_lookup": translation_lookup,
     "translated_only": translated_only,
     "model_save_load": model_save_load,
+    "model_store": model_store,
     "sample_n": sample_n,
     "peek": peek,
     "peek_row": peek_row,
@@ -602,8 +664,13 @@ QUERIES = {
     "holdout_split": holdout_split,
     "train_classifier": train_classifier,
     "train_classifier_trees": train_classifier_trees,
+    "train_classifier_boosted": train_classifier_boosted,
     "training_curve": training_curve,
+    "training_curve_boosted": training_curve_boosted,
     "predict_class": predict_class,
+    "predict_class_calibrated": predict_class_calibrated,
+    "calibration_reliability": calibration_reliability,
+    "isotonic_calibration": isotonic_calibration,
     "classification_report": classification_report_quality,
     "classification_report_language": classification_report_language,
     "evaluate_saved": evaluate_saved,
