@@ -395,6 +395,20 @@ def _builders() -> dict[str, Callable[[], str]]:
             "join c i on i.bin between s.bin and e.bin group by all), "
             "least_means as (select bin, s, min(mean) as least from c join means on bin between s and e group by all)",
             "select bin, n, positives, round(max(least), 6) as rate from c join least_means using (bin) group by all"),
+        "tagger_counts": lambda: _with(
+            f"{CLEANED}, parts as (select docname, unnest(string_split_regex(lower(cleaned_text), "
+            f"{_q('[.!?…]+[ ' + chr(9) + chr(13) + chr(10) + ']+|' + chr(10) + '+')})) as part from cleaned), "
+            f"sents as (select row_number() over () as s, {_tokens('part')} as tokens from parts), "
+            "words as (select s, unnest(tokens) as token, generate_subscripts(tokens, 1) as pos from sents), "
+            f"forms(form, lemma, form_pos) as (values {_values(SPANISH_FORMS)}), "
+            "classes as (select form, min(form_pos) as form_pos, count(distinct form_pos) as several from forms group by 1), "
+            f"vocab as (select token, case when several > 1 then '' else coalesce(form_pos, {_rule_pos('token')}) end as tag "
+            "from (select distinct token from words) left join classes on form = token), "
+            "tagged as (select s, pos, token, tag from words join vocab using (token)), "
+            "steps as (select coalesce(lag(tag) over w, '^') as a, tag as b from tagged window w as (partition by s order by pos) "
+            "union all select arg_max(tag, pos), '$' from tagged group by s)",
+            "select 'follow' as kind, a, b, count(*) as n from steps where a <> '' and b <> '' group by all "
+            "union all select 'word', tag, token, count(*) from tagged where tag <> '' group by all"),
         "topic_word_weights": lambda: _with(
             f"{_normalized()}{weights}, r as (select *, row_number() over (partition by topic order by weight desc, "
             "word) as rank, max(weight) over (partition by topic) as top from w)",

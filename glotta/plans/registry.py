@@ -16,8 +16,8 @@ from glotta import SEED
 from glotta.functions import text as text_fx
 from glotta.functions import tokens as token_fx
 from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, supported_languages
-from glotta.operators import (calibration, classification, cleaning, language, normalization, profiling, topics,
-                              translation, vectors)
+from glotta.operators import (calibration, classification, cleaning, language, normalization, profiling, tagger,
+                              topics, translation, vectors)
 from glotta.operators.evaluation import classification_report
 from glotta.operators.once import explode_tokens
 from glotta.operators.ranking import order_rank
@@ -351,6 +351,26 @@ def nonempty_lemmas(spark, sf_dir):
     return normalization.nonempty_lemmas(lemmas(spark, sf_dir)).select("docname")
 
 
+def _tagger(spark, sf_dir):
+    return tagger.fit_tagger(tagger.sentences(cleaned(spark, sf_dir).select("docname", "cleaned_text"), DOC))
+
+
+def tagger_counts(spark, sf_dir):
+    """How often word classes follow each other and which words they have, over all sentences."""
+    return _tagger(spark, sf_dir).counts
+
+
+def tag_in_context(spark, sf_dir):
+    docs = cleaned(spark, sf_dir).select("docname", "cleaned_text")
+    tagged = tagger.tag_sentences(tagger.sentences(docs, DOC), _tagger(spark, sf_dir))
+    return tagged.select("docname", "sentence", joined("tokens"), joined("tags"))
+
+
+def lemmatize_in_context(spark, sf_dir):
+    docs = cleaned(spark, sf_dir).select("docname", "cleaned_text")
+    return tagger.lemmatize_in_context(docs, DOC, _tagger(spark, sf_dir)).select("docname", joined("lemmatized_text"))
+
+
 def stem_vocabulary(spark, sf_dir):
     return normalization.stem_documents(lemmas(spark, sf_dir)).select("docname", joined("stemmed_text"))
 
@@ -655,6 +675,9 @@ QUERIES = {
     "nonempty_normalized": nonempty_normalized,
     "lemmatize_pos_filter": lemmatize_pos_filter,
     "nonempty_lemmas": nonempty_lemmas,
+    "tagger_counts": tagger_counts,
+    "tag_in_context": tag_in_context,
+    "lemmatize_in_context": lemmatize_in_context,
     "stem_vocabulary": stem_vocabulary,
     "words_in_model": words_in_model,
     "document_to_vector": document_to_vector,
