@@ -113,6 +113,7 @@ def train_lda(df: DataFrame, k: int = NUM_TOPICS, tokens: str = "lemmatized_text
     The model itself (vocabulary x k) lives on the driver in MLlib, so the tokens
     that ``min_df`` and ``max_df`` leave (counts from 1 on, else shares of the
     documents) are counted first: more than the bound is an error, never a cut.
+    ``word_topics.train_word_topics`` has no such bound.
     """
     documents = df.select(tokens).persist()
     try:

@@ -17,7 +17,7 @@ from glotta.functions import text as text_fx
 from glotta.functions import tokens as token_fx
 from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, supported_languages
 from glotta.operators import (calibration, classification, cleaning, language, normalization, profiling, tagger,
-                              topics, translation, vectors)
+                              topics, translation, vectors, word_topics)
 from glotta.operators.evaluation import classification_report
 from glotta.operators.once import explode_tokens
 from glotta.operators.ranking import order_rank
@@ -582,6 +582,23 @@ def lda_topics(spark, sf_dir):
                          F.array_max(share).alias("share"))
 
 
+def _word_topics(spark, sf_dir):
+    prepared = normalization.nonempty_lemmas(lemmas(spark, sf_dir)).select("docname", "lemmatized_text")
+    return prepared, word_topics.train_word_topics(prepared, k=6, passes=10)
+
+
+def lda_topic_tables(spark, sf_dir):
+    """The likeliest topic of each document, from weights that are never on the driver."""
+    prepared, model = _word_topics(spark, sf_dir)
+    shares = word_topics.topic_shares(prepared, model, DOC)
+    return shares.select("docname", (F.array_position("shares", F.array_max("shares")) - 1).cast("int").alias("topic"),
+                         F.array_max("shares").alias("share"))
+
+
+def describe_topic_tables(spark, sf_dir):
+    return topics.topic_word_weights(word_topics.topic_weights(_word_topics(spark, sf_dir)[1]))
+
+
 def describe_topics(spark, sf_dir):
     return _lda(spark, sf_dir)[1]
 
@@ -708,6 +725,8 @@ QUERIES = {
     "corpus_stats": corpus_stats,
     "lda_topics": lda_topics,
     "describe_topics": describe_topics,
+    "lda_topic_tables": lda_topic_tables,
+    "describe_topic_tables": describe_topic_tables,
     "topic_word_weights": topic_word_weights,
     "topic_term_relevance": topic_term_relevance,
     "count_documents": count_documents,

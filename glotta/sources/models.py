@@ -25,6 +25,7 @@ from glotta.operators.boosting import BoostedClassifier, Trees
 from glotta.operators.calibration import CalibratedClassifier
 from glotta.operators.classification import TrainedClassifier
 from glotta.operators.topics import TrainedLda
+from glotta.operators.word_topics import STORED, WordTopics
 
 MANIFEST = "manifest.json"
 FORMAT = 1
@@ -94,6 +95,10 @@ def _load_lda(spark: SparkSession, folder: str, kept: dict) -> TrainedLda:
     return TrainedLda(CountVectorizerModel.load(f"{folder}/{kept['vocabulary']}"), kind.load(f"{folder}/lda"))
 
 
+def _word_topic_settings(kept: dict) -> dict:
+    return {"totals": kept["parameters"]["totals"], "alpha": kept["parameters"]["alpha"]}
+
+
 def _save_calibrated(model: CalibratedClassifier, folder: str) -> dict:
     inner = _kind_of(model.model)
     return {"labels": model.labels, "curves": model.curves,
@@ -105,6 +110,11 @@ def _load_calibrated(spark: SparkSession, folder: str, kept: dict) -> Calibrated
     return CalibratedClassifier(inner, kept["labels"], [[tuple(p) for p in c] for c in kept["curves"]])
 
 
+def _save_word_topics(model: WordTopics, folder: str) -> dict:
+    model.words.write.parquet(f"{folder}/words")
+    return {"vocabulary": "words", "parameters": {"alpha": model.alpha, "totals": model.totals}}
+
+
 KINDS = {k.of.__name__: k for k in [
     Kind(PipelineModel, _save_ml("pipeline"), lambda spark, folder, kept: PipelineModel.load(f"{folder}/pipeline")),
     Kind(TrainedClassifier, _save_classifier,
@@ -112,6 +122,8 @@ KINDS = {k.of.__name__: k for k in [
     Kind(BoostedClassifier, _save_boosted, _load_boosted),
     Kind(KMeansModel, _save_ml("kmeans"), lambda spark, folder, kept: KMeansModel.load(f"{folder}/kmeans")),
     Kind(TrainedLda, _save_lda, _load_lda),
+    Kind(WordTopics, _save_word_topics, lambda spark, folder, kept: WordTopics(
+        spark.read.schema(STORED).parquet(f"{folder}/{kept['vocabulary']}"), **_word_topic_settings(kept))),
     Kind(CalibratedClassifier, _save_calibrated, _load_calibrated),
 ]}
 
