@@ -176,11 +176,17 @@ class ByteBpe:
         return self.buffer[at].tobytes()
 
 
-def _shared(df: DataFrame, vocabulary: str | None) -> Broadcast[ByteBpe]:
-    """The vocabulary of a file, some 50,000 tokens, once per worker."""
+def _shared(df: DataFrame, vocabulary: str | None) -> Broadcast[dict]:
+    """The vocabulary of a file, some 50,000 tokens, once per worker; as plain data, since workers may lack this package."""
     import public_tokenizers
 
-    return df.sparkSession.sparkContext.broadcast(ByteBpe(vocabulary or public_tokenizers.path(VOCABULARY)))
+    return df.sparkSession.sparkContext.broadcast(vars(ByteBpe(vocabulary or public_tokenizers.path(VOCABULARY))))
+
+
+def _of(state: dict) -> ByteBpe:
+    bpe = ByteBpe.__new__(ByteBpe)
+    bpe.__dict__ = state  # not a copy: what is kept stays with the worker
+    return bpe
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -189,7 +195,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     shared = _shared(chosen, vocabulary)
 
     def fn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        bpe = shared.value
+        bpe = _of(shared.value)
         for first, texts in pieces(batch, "text"):
             rows = [np.concatenate([np.empty(0, "<u4"), *bpe.encode(t.decode("utf-8", "replace"))]) for t in texts]
             ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()),
@@ -206,7 +212,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", voc
     shared = _shared(chosen, vocabulary)
 
     def fn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        bpe = shared.value
+        bpe = _of(shared.value)
         for i, ids in enumerate(batch.column(1)):
             known = [] if ids.values is None else ids.values.drop_null().to_numpy(zero_copy_only=False)
             text = bpe.token_bytes(np.asarray(known, dtype=np.int64)).decode("utf-8", "replace")
@@ -227,7 +233,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = _shared(chosen, vocabulary)
 
     def fn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        bpe = shared.value
+        bpe = _of(shared.value)
         rows = []
         for _, texts in pieces(batch, "text"):
             for text in texts:
