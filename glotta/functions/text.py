@@ -64,6 +64,11 @@ def strip_wiki_trailers(text: Column) -> Column:
     return _drop(_drop(text, WIKI_CATEGORY), WIKI_INTERLANGUAGE)
 
 
+def letters_only(text: Column) -> Column:
+    """The lower-cased letters, with one space for each run of other characters and at both ends."""
+    return F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), F.lit(r"[^\p{L}]+"), F.lit(" "))
+
+
 def char_trigrams(text: Column) -> Column:
     """Overlapping three-character windows over the letters of the whole text.
 
@@ -72,5 +77,4 @@ def char_trigrams(text: Column) -> Column:
     without letters gives an empty array. The look-ahead makes this one linear
     scan; ``substring`` per position would be quadratic in the text length.
     """
-    letters = F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), F.lit(r"[^\p{L}]+"), F.lit(" "))
-    return F.regexp_extract_all(letters, F.lit(r"(?=([\p{L} ]{3}))"), F.lit(1))
+    return F.regexp_extract_all(letters_only(text), F.lit(r"(?=([\p{L} ]{3}))"), F.lit(1))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glotta.functions.text import char_trigrams
+from glotta.operators.hashed_language import HashedProfiles, detect_hashed, detected_language
 from glotta.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from glotta.scratch import materialize
 
@@ -79,7 +80,7 @@ def fit_language_profiles(df: DataFrame, text: str = "cleaned_text", language: s
     return LanguageProfiles(table, languages, unseen, size)
 
 
-def detect_language(df: DataFrame, profiles: LanguageProfiles, keys: list[str], text: str = "cleaned_text",
+def detect_language(df: DataFrame, profiles: LanguageProfiles | HashedProfiles, keys: list[str], text: str = "cleaned_text",
                     out: str = "detected_language", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                     min_known: float = MIN_KNOWN) -> DataFrame:
     """``keys`` plus the most likely language; NULL where the text has no letters.
@@ -91,8 +92,10 @@ def detect_language(df: DataFrame, profiles: LanguageProfiles, keys: list[str],
     Every row of ``df`` is kept. The trigrams of a document stay in the task that
     read it: they meet the broadcast profiles there and are summed there, so one
     small row per document is all that is shuffled. Ties go to the first language
-    in alphabetical order.
+    in alphabetical order. With hashed profiles nothing is shuffled at all.
     """
+    if isinstance(profiles, HashedProfiles):
+        return detect_hashed(df, profiles, keys, text, out, min_known)
     if not profiles.unseen:
         return df.select(*keys, F.lit(None).cast("string").alias(out))
     grams = df.select(*keys, F.explode_outer(char_trigrams(F.col(text))).alias("gram"))
@@ -112,9 +115,11 @@ def detect_language(df: DataFrame, profiles: LanguageProfiles, keys: list[str],
     return summed.select(*keys, named.alias(out))
 
 
-def add_detected_language(df: DataFrame, profiles: LanguageProfiles, keys: list[str], text: str = "cleaned_text",
-                          out: str = "detected_language") -> DataFrame:
-    """``df`` with its detected language: the labels are joined back on the keys."""
+def add_detected_language(df: DataFrame, profiles: LanguageProfiles | HashedProfiles, keys: list[str],
+                          text: str = "cleaned_text", out: str = "detected_language") -> DataFrame:
+    """``df`` with its detected language; without hashed profiles the labels are joined back on the keys."""
+    if isinstance(profiles, HashedProfiles):
+        return df.withColumn(out, detected_language(df, profiles, F.col(text)))
     return df.join(detect_language(df, profiles, keys, text, out), keys, "left")
 
 

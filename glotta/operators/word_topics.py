@@ -130,7 +130,7 @@ def train_word_topics(df: DataFrame, k: int = NUM_TOPICS, tokens: str = "lemmati
     for _ in range(passes):
         totals = np.array(_totals(words, k))
 
-        def run(batches, psi=digamma(totals) if len(totals) else totals):
+        def run(batches, psi=digamma(np.maximum(totals, 1 / FIXED))):
             for batch in batches:
                 if not batch.num_rows:
                     continue

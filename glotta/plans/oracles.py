@@ -99,6 +99,39 @@ def _detected() -> str:
             "over (partition by docname order by s desc, language) as r from scores) where r = 1)")
 
 
+def _hashed(fit: str = "true") -> str:
+    """``marks`` (every trigram of every document with its places), ``kept`` counts and ``scored`` places of the fitted rows."""
+    letters = _sub("' ' || lower(cleaned_text) || ' '", r"[^\p{L}]+", " ")
+    where = "(unicode(c[i])::bigint * {} + unicode(c[i + 1])::bigint * {} + unicode(c[i + 2])::bigint * {}) % {} + {}".format
+    places = {"p1": where(0, 0, 1, 16381, 0), "p2": where(0, 19349663, 83492791, 65521, 16381),
+              "p3": where(73856093, 19349663, 83492791, 262139, 81902)}
+    each = "{" + ", ".join(f"'{k}': {v}" for k, v in places.items()) + "}"
+    return (f"{CLEANED}, chars as (select docname, language, regexp_extract_all({letters}, '.') as c from cleaned), "
+            f"marks as (select docname, language, unnest(list_transform(range(1, len(c) - 1), lambda i: {each})) as m from chars), "
+            f"fitted as (select language, unnest([m.p1, m.p2, m.p3]) as place from marks where {fit}), "
+            "kept as (select language, place, count(*) as n from fitted group by all), "
+            "lens as (select place, case when place < 16381 then 1 when place < 81902 then 2 else 3 end as len "
+            "from (select distinct place from kept)), "
+            "seen as (select len, count(*) as v from lens group by 1), "
+            "sums as (select k.language, len, sum(n) as t from kept k join lens using (place) group by all), "
+            "scored as (select s.language, l.place, coalesce(k.n, 0) as n, cast(round_even(ln((coalesce(k.n, 0) + 1)::double "
+            "/ (s.t + v)::double) * 1000000.0::double * case l.len when 1 then 0.2::double when 2 then 0.4::double else 1.0::double "
+            "end, 0) as bigint) as score from sums s join seen using (len) join lens l using (len) "
+            "left join kept k on k.language = s.language and k.place = l.place)")
+
+
+def _hashed_detected(rows: str = "true") -> str:
+    return (f"used as (select docname, language, case when m.p3 in (select place from lens) then m.p3 "
+            f"when m.p2 in (select place from lens) then m.p2 else m.p1 end as place, m.p3 as p3 from marks where {rows}), "
+            "named as (select distinct language from kept), "
+            "per_doc as (select u.docname, n.language, count(*) as total, sum(coalesce(s.score, 0)) as s, "
+            "count(*) filter (coalesce(s3.n, 0) > 0) as known from used u cross join named n left join scored s "
+            "on s.language = n.language and s.place = u.place left join scored s3 on s3.language = n.language and s3.place = u.p3 "
+            "group by all), found as (select docname, case when known >= 0.6::double * total then language else 'unknown' end "
+            "as detected_language from (select *, row_number() over (partition by docname order by s desc, language) as r "
+            "from per_doc) where r = 1)")
+
+
 def _languages() -> str:
     rows = [("en", ENGLISH_MODEL_NAME)] + [(c, MODEL_NAME.format(c)) for c in SUPPORTED_LANGUAGES]
     return f"languages(lang, model_name) as (values {_values(rows)})"
@@ -409,6 +442,16 @@ def _builders() -> dict[str, Callable[[], str]]:
             "union all select arg_max(tag, pos), '$' from tagged group by s)",
             "select 'follow' as kind, a, b, count(*) as n from steps where a <> '' and b <> '' group by all "
             "union all select 'word', tag, token, count(*) from tagged where tag <> '' group by all"),
+        "fit_hashed_profiles": lambda: _with(_hashed(), "select language, place, n from kept"),
+        "detect_language_hashed": lambda: _with(
+            f"{_hashed()}, {_hashed_detected()}", "select docname, detected_language from cleaned left join found using (docname)"),
+        "language_accuracy_by_length": lambda: _with(
+            f"{_hashed('docname::bigint % 10 <> 0')}, {_hashed_detected('docname::bigint % 10 = 0')}, "
+            "sized as (select docname, language, len(c) as size from chars where docname::bigint % 10 = 0)",
+            "select case when size >= 3000 then 3000 when size >= 1000 then 1000 when size >= 300 then 300 "
+            "when size >= 100 then 100 else 0 end as least, count(*) as n, "
+            "count(*) filter (detected_language = language) as correct, "
+            "count(*) filter (detected_language = 'unknown') as unknown from sized left join found using (docname) group by 1"),
         "topic_word_weights": lambda: _with(
             f"{_normalized()}{weights}, r as (select *, row_number() over (partition by topic order by weight desc, "
             "word) as rank, max(weight) over (partition by topic) as top from w)",

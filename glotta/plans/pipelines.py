@@ -13,6 +13,7 @@ from glotta import SEED
 from glotta.operators import classification, evaluation, topics
 from glotta.operators.boosting import BoostedClassifier
 from glotta.operators.cleaning import clean_text
+from glotta.operators.hashed_language import HashedProfiles
 from glotta.operators.language import LanguageProfiles, detect_language
 from glotta.operators.normalization import (lemmatize_pos_filter, nonempty_lemmas, normalize_documents, stem_documents)
 from glotta.operators.translation import translate_detected
@@ -76,7 +77,7 @@ def evaluate_saved(spark, path: str, label: str = "context") -> DataFrame:
     return evaluate(load_holdout(spark, path), load_model(path), label)
 
 
-def score_documents(df: DataFrame, keys: list[str], profiles: LanguageProfiles, word_vectors: DataFrame,
+def score_documents(df: DataFrame, keys: list[str], profiles: LanguageProfiles | HashedProfiles, word_vectors: DataFrame,
                     model: classification.TrainedClassifier | PipelineModel | BoostedClassifier, lexicon: DataFrame | None = None,
                     text: str = "text") -> DataFrame:
     """Clean, detect, translate, normalise, embed and classify raw texts.

@@ -16,7 +16,7 @@ from glotta import SEED
 from glotta.functions import text as text_fx
 from glotta.functions import tokens as token_fx
 from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, supported_languages
-from glotta.operators import (calibration, classification, cleaning, language, normalization, profiling, tagger,
+from glotta.operators import (calibration, classification, cleaning, hashed_language, language, normalization, profiling, tagger,
                               topics, translation, vectors, word_topics)
 from glotta.operators.evaluation import classification_report
 from glotta.operators.once import explode_tokens
@@ -222,6 +222,25 @@ def detect_language(spark, sf_dir):
     return language.detect_language(docs, language.fit_language_profiles(docs), DOC)
 
 
+def fit_hashed_profiles(spark, sf_dir):
+    """The counts of every language's n-grams by their place in the table."""
+    made = hashed_language.fit_hashed_profiles(cleaned(spark, sf_dir))
+    rows = [(made.languages[i], int(place), int(made.counts[place, i])) for place, i in zip(*made.counts.nonzero())]
+    return spark.createDataFrame(rows, "language string, place bigint, n bigint")
+
+
+def detect_language_hashed(spark, sf_dir):
+    docs = cleaned(spark, sf_dir)
+    return language.detect_language(docs, hashed_language.fit_hashed_profiles(docs), DOC)
+
+
+def language_accuracy_by_length(spark, sf_dir):
+    """Profiles of nine tenths of the documents judged on the other tenth."""
+    docs = cleaned(spark, sf_dir).withColumn("_held", F.col("docname").cast("bigint") % 10 == 0)
+    made = hashed_language.fit_hashed_profiles(docs.filter("not _held"))
+    return hashed_language.accuracy_by_length(docs.filter("_held"), made)
+
+
 def safe_detect(spark, sf_dir):
     """Half of the rows are texts, half their lengths: digits alone have no language."""
     docs = cleaned(spark, sf_dir)
@@ -500,7 +519,7 @@ def evaluate_saved(spark, sf_dir):
 
 def _scorer(spark, sf_dir):
     words = bound_word_vectors(spark, sf_dir)
-    profiles = language.fit_language_profiles(cleaned(spark, sf_dir))
+    profiles = hashed_language.fit_hashed_profiles(cleaned(spark, sf_dir))
     model = classification.train_classifier(labelled(spark, sf_dir, words), "label")
     return lambda docs: pipelines.score_documents(docs, DOC, profiles, words, model)
 
@@ -673,6 +692,9 @@ QUERIES = {
     "nonempty_cleaned": nonempty_cleaned,
     "fit_language_profiles": fit_language_profiles,
     "detect_language": detect_language,
+    "fit_hashed_profiles": fit_hashed_profiles,
+    "detect_language_hashed": detect_language_hashed,
+    "language_accuracy_by_length": language_accuracy_by_length,
     "safe_detect": safe_detect,
     "language_mismatch_counts": language_mismatch_counts,
     "supported_languages": supported_language_counts,
