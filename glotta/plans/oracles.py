@@ -452,6 +452,22 @@ def _builders() -> dict[str, Callable[[], str]]:
             "when size >= 100 then 100 else 0 end as least, count(*) as n, "
             "count(*) filter (detected_language = language) as correct, "
             "count(*) filter (detected_language = 'unknown') as unknown from sized left join found using (docname) group by 1"),
+        "translate_phrases": lambda: "with recursive " + (
+            f"{CLEANED}, items as (select item_id % 4 + 1 as n, regexp_extract_all(lower(text), {_q(W + '+')}) as w from benchmark), "
+            "lex as (select distinct n, array_to_string(w[1:n], ' ') as phrase from items where len(w) >= n), "
+            f"cut as (select docname, language, regexp_extract_all(cleaned_text, {_q(W + '+|[^' + W[1:-1] + ']+')}) as p from cleaned), "
+            "places as (select docname, unnest(range(1, len(p) + 1)) as i, p from cut where language = 'en'), "
+            "tried as (select docname, i, n, lower(array_to_string(list_filter(p[i:i + 2 * n - 2], lambda x, k: k % 2 = 1), ' ')) "
+            "as phrase from places, range(1, 5) r(n) where i + 2 * n - 2 <= len(p) and len(list_filter(p[i:i + 2 * n - 2], "
+            f"lambda x, k: k % 2 = 0 and regexp_matches(x, '[^' || {_q(chr(92) + 's')} || ']'))) = 0), "
+            "hits as (select docname, i, max(n) as n, arg_max(phrase, n) as phrase from tried join lex using (n, phrase) group by all), "
+            "chosen as (select docname, min(i) as i, arg_min(n, i) as n, arg_min(phrase, i) as phrase from hits group by 1 "
+            "union all select c.docname, h.i, h.n, h.phrase from chosen c join hits h on h.docname = c.docname "
+            "and h.i >= c.i + 2 * c.n - 1 qualify row_number() over (partition by c.docname order by h.i) = 1), "
+            "made as (select p.docname, string_agg(case when p.i = c.i then '<' || upper(c.phrase) || '>' "
+            "when p.i <= c.i + 2 * c.n - 2 then '' else p.p[p.i] end, '' order by p.i) as es "
+            "from places p asof left join chosen c on c.docname = p.docname and p.i >= c.i group by 1) "
+            "select docname, coalesce(es, cleaned_text) as translated_text from cleaned left join made using (docname)"),
         "topic_word_weights": lambda: _with(
             f"{_normalized()}{weights}, r as (select *, row_number() over (partition by topic order by weight desc, "
             "word) as rank, max(weight) over (partition by topic) as top from w)",

@@ -16,8 +16,8 @@ from glotta import SEED
 from glotta.functions import text as text_fx
 from glotta.functions import tokens as token_fx
 from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, supported_languages
-from glotta.operators import (calibration, classification, cleaning, hashed_language, language, normalization, profiling, tagger,
-                              topics, translation, vectors, word_topics)
+from glotta.operators import (calibration, classification, cleaning, hashed_language, language, normalization,
+                              phrases, profiling, tagger, topics, translation, vectors, word_topics)
 from glotta.operators.evaluation import classification_report
 from glotta.operators.once import explode_tokens
 from glotta.operators.ranking import order_rank
@@ -284,6 +284,21 @@ def lexicon_translate(spark, sf_dir):
     return translation.lexicon_translate(cleaned(spark, sf_dir), DOC).select("docname", "translated_text")
 
 
+def phrase_lexicon(spark, sf_dir) -> DataFrame:
+    """Entries of one to four words, from the first words of the benchmark's items, which some documents quote."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("(" + text_fx.WORD + "+)"), F.lit(1))
+    n = (F.col("item_id") % 4 + 1).cast("int")
+    items = table(spark, sf_dir, "benchmark").select(n.alias("n"), words.alias("w")).filter(F.size("w") >= F.col("n"))
+    token = F.array_join(F.slice("w", F.lit(1), F.col("n")), " ")
+    return items.select(F.lit("en").alias("lang"), token.alias("token"), F.concat(F.lit("<"), F.upper(token), F.lit(">")).alias("es_token"))
+
+
+def translate_phrases(spark, sf_dir):
+    docs = cleaned(spark, sf_dir).select("docname", "language", "cleaned_text")
+    made = phrases.translate_phrases(docs, materialize(phrase_lexicon(spark, sf_dir), "phrase-lexicon"))
+    return made.select("docname", "translated_text")
+
+
 def translate_with_model(spark, sf_dir):
     """The model hook with a stand-in for a user's model: the default lexicon applied to a batch of texts.
 
@@ -702,6 +717,7 @@ QUERIES = {
     "english_target_prefix": english_target_prefix,
     "translation_batches": translation_batches,
     "translate_batch": lexicon_translate,
+    "translate_phrases": translate_phrases,
     "translate_with_model": translate_with_model,
     "translate_corpus": translate_corpus,
     "translate_detected": translate_detected,
