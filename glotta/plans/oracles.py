@@ -478,6 +478,13 @@ def _builders() -> dict[str, Callable[[], str]]:
             "s as (select topic, word, round(0.6::double * ln(pwt) + (1 - 0.6::double) * ln(pwt / pw), 6) as relevance "
             "from p), r as (select *, row_number() over (partition by topic order by relevance desc, word) as rank "
             "from s)", "select topic, rank, word, relevance from r where rank <= 30"),
+        "topic_distances": lambda: _with(
+            f"{_normalized()}{weights}, p as (select topic, word, weight / sum(weight) over (partition by topic) as p from w "
+            "where topic is not null), s as (select a.topic, b.topic as other, sum(a.p) + sum(b.p) as mass, "
+            "sum(a.p * ln(2 * a.p / (a.p + b.p)) + b.p * ln(2 * b.p / (a.p + b.p))) as part "
+            "from p a join p b on a.word = b.word and a.topic < b.topic group by 1, 2), t as (select distinct topic from p)",
+            "select x.topic, y.topic as other, round((coalesce(part, 0) + ln(2) * (2 - coalesce(mass, 0))) / 2, 6) as divergence "
+            "from t x join t y on x.topic < y.topic left join s on s.topic = x.topic and s.other = y.topic"),
         "count_documents": lambda: "select count(*) as n from documents",
         "docs_by_language": lambda: _with(CORPUS, "select language, count(*) as n from corpus group by 1 order by 2 desc, 1"),
         "docs_by_context": lambda: _with(CORPUS, "select context, count(*) as n from corpus group by 1 order by 2 desc, 1"),

@@ -17,7 +17,7 @@ from glotta.functions import text as text_fx
 from glotta.functions import tokens as token_fx
 from glotta.functions.lexicons import ENGLISH_TARGET_PREFIX, TO_SPANISH, supported_languages
 from glotta.operators import (calibration, classification, cleaning, hashed_language, language, normalization,
-                              phrases, profiling, tagger, topics, translation, vectors, word_topics)
+                              phrases, profiling, tagger, topic_layout, topics, translation, vectors, word_topics)
 from glotta.operators.evaluation import classification_report
 from glotta.operators.once import explode_tokens
 from glotta.operators.ranking import order_rank
@@ -656,6 +656,20 @@ def topic_term_relevance(spark, sf_dir):
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def topic_distances(spark, sf_dir):
+    """How far the words of each two languages lie from each other."""
+    weights = materialize(language_word_weights(spark, sf_dir), "word-weights")
+    return topic_layout.topic_distances(weights).withColumn("divergence", F.round("divergence", 6))
+
+
+def topic_map(spark, sf_dir):
+    """Share and place of the trained topics."""
+    weights = materialize(word_topics.topic_weights(_word_topics(spark, sf_dir)[1]), "topic-weights")
+    found = topic_layout.topic_layout(weights)
+    return found.select("topic", F.round("share", 6).alias("share"),
+                        *[F.round(F.col("coordinates")[i], 6).alias(c) for i, c in enumerate("xy")])
+
+
 # --- profiling --------------------------------------------------------------------------------------
 
 def count_documents(spark, sf_dir):
@@ -767,6 +781,8 @@ QUERIES = {
     "describe_topic_tables": describe_topic_tables,
     "topic_word_weights": topic_word_weights,
     "topic_term_relevance": topic_term_relevance,
+    "topic_distances": topic_distances,
+    "topic_map": topic_map,
     "count_documents": count_documents,
     "docs_by_language": docs_by_language,
     "docs_by_context": docs_by_context,
