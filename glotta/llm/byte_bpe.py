@@ -22,6 +22,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -44,7 +45,8 @@ PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{Whi
 # Bytes that stand for themselves in token strings; the others, in turn, are written as U+0100 on.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-NO_PAIR = 1 << 62
+NO_RANK = 1 << 24  # greater than any rank; a key is ``rank * length + place``
+NO_PAIR = 1 << 62  # greater than any key
 
 
 def byte_characters() -> list[str]:
@@ -56,29 +58,44 @@ def byte_characters() -> list[str]:
 
 
 class PairTree:
-    """The least key of adjacent pairs, ``rank * n + place`` or NO_PAIR, under point updates."""
+    """The least key of adjacent pairs at ``nodes[1]``, under point updates.
+
+    A flat binary tree: node p has the children 2p and 2p + 1, the leaf of place
+    i is node ``leaves + i``.
+    """
 
     def __init__(self, keys: list[int]):
-        levels = [keys]
-        while len(keys) > 1:
-            if len(keys) % 2:
-                keys.append(NO_PAIR)
-            keys = list(map(min, keys[::2], keys[1::2]))
-            levels.append(keys)
-        self.levels = levels
-        self.root = keys
+        self.leaves = leaves = 1 << (len(keys) - 1).bit_length()
+        self.nodes = nodes = [NO_PAIR] * leaves + keys + [NO_PAIR] * (leaves - len(keys))
+        for p in range(leaves - 1, 0, -1):
+            a, b = nodes[2 * p], nodes[2 * p + 1]
+            nodes[p] = a if a < b else b
+
+    @property
+    def root(self) -> list[int]:
+        return self.nodes[1:2]
 
     def put(self, place: int, key: int) -> None:
-        """Set one leaf and mend the path above it, as far as it changes."""
-        for level in self.levels:
-            if level[place] == key:
-                return
-            level[place] = key
-            if level is not self.root:
-                beside = level[place ^ 1]
-                if beside < key:
-                    key = beside
-                place >>= 1
+        """Set one leaf."""
+        at = self.leaves + place
+        self.nodes[at] = key
+        self.mend(at, at, at)
+
+    def mend(self, a: int, b: int, c: int) -> None:
+        """Bring the paths above three leaf nodes, a <= b <= c, up to date: one walk, in which equal nodes count once."""
+        nodes = self.nodes
+        while a > 1:
+            a >>= 1
+            b >>= 1
+            c >>= 1
+            x, y = nodes[2 * a], nodes[2 * a + 1]
+            nodes[a] = x if x < y else y
+            if b != a:
+                x, y = nodes[2 * b], nodes[2 * b + 1]
+                nodes[b] = x if x < y else y
+            if c != b:
+                x, y = nodes[2 * c], nodes[2 * c + 1]
+                nodes[c] = x if x < y else y
 
 
 class ByteBpe:
@@ -89,10 +106,12 @@ class ByteBpe:
             made = json.load(file)
         vocabulary: dict[str, int] = made["model"]["vocab"]
         self.symbols = [vocabulary[c] for c in byte_characters()]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []  # by rank
         for rank, pair in enumerate(made["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocabulary[a], vocabulary[b]] = rank, vocabulary[a + b]
+            self.ranks[vocabulary[a], vocabulary[b]] = rank
+            self.made.append(vocabulary[a + b])
         self.added = {t["content"]: t["id"] for t in made["added_tokens"]}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
@@ -116,30 +135,35 @@ class ByteBpe:
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-token: merges the leftmost pair of the lowest rank until none is left."""
         ids = [self.symbols[b] for b in word]
-        n, of = len(ids), self.merges.get
-        tree = PairTree([NO_PAIR if (pair := of((a, b))) is None else pair[0] * n + i
-                         for i, (a, b) in enumerate(zip(ids, ids[1:]))] or [NO_PAIR])
-        root, put = tree.root, tree.put
-        if root[0] == NO_PAIR:
+        n, rank = len(ids), self.ranks.get
+        if n < 2:
+            return ids
+        tree = PairTree([rank(pair, NO_RANK) * n + i for i, pair in enumerate(zip(ids, ids[1:]))])
+        nodes, leaves, mend, made = tree.nodes, tree.leaves, tree.mend, self.made
+        none = NO_RANK * n
+        if nodes[1] >= none:
             return ids
         after, before = list(range(1, n + 1)), list(range(-1, n))  # n and -1: none
-        while (least := root[0]) != NO_PAIR:
+        while (least := nodes[1]) < none:
             i = least % n
             j = after[i]
             k = after[i] = after[j]
-            made = ids[i] = self.merges[ids[i], ids[j]][1]
+            new = ids[i] = made[least // n]
             ids[j] = -1
+            a = b = c = leaves + i
             if j < n - 1:
-                put(j, NO_PAIR)
-            pair = None
+                c = leaves + j
+                nodes[c] = NO_PAIR
             if k < n:
                 before[k] = i
-                pair = of((made, ids[k]))
-            put(i, NO_PAIR if pair is None else pair[0] * n + i)
+                nodes[b] = rank((new, ids[k]), NO_RANK) * n + i
+            else:
+                nodes[b] = NO_PAIR
             if i:
                 h = before[i]
-                pair = of((ids[h], made))
-                put(h, NO_PAIR if pair is None else pair[0] * n + h)
+                a = leaves + h
+                nodes[a] = rank((ids[h], new), NO_RANK) * n + h
+            mend(a, b, c)
         return [i for i in ids if i >= 0]
 
     def _learn(self, words: set[str]) -> None:
@@ -148,7 +172,7 @@ class ByteBpe:
             self.kept_bytes = 0
         for word in words.difference(self.kept):
             data = word.encode()
-            self.kept[word] = np.array(self.merge(data), dtype="<u4").tobytes()
+            self.kept[word] = array("I", self.merge(data)).tobytes()
             self.kept_bytes += len(data)
 
     def encode(self, text: str) -> Iterator[np.ndarray]:

@@ -31,11 +31,11 @@ def brute_merge(bpe, word):
     """The definition: look at all pairs, merge the leftmost of the lowest rank, start again."""
     ids = [bpe.symbols[b] for b in word]
     while True:
-        ranked = [(bpe.merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in bpe.merges]
+        ranked = [(bpe.ranks[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in bpe.ranks]
         if not ranked:
             return ids
         i = min(ranked)[1]
-        ids[i:i + 2] = [bpe.merges[ids[i], ids[i + 1]][1]]
+        ids[i:i + 2] = [bpe.made[bpe.ranks[ids[i], ids[i + 1]]]]
 
 
 def test_root_is_the_minimum():
