@@ -9,10 +9,13 @@ with the maximum-sum node of its own subtree. Of the article or main element
 around the maximum-sum node, or the outermost element below the body that holds
 only text beside it, the whole rest is kept too, however sparse.
 
-Elements that are no running text by their name, role or class (menus, page
-headers, footers, sidebars, adverts, notices, forms, reader comments, scripts,
-styles) are left out before densities are counted, and lists that are mostly
-links after, if they are outside articles.
+Elements that are no running text by their name or role (menus, page headers,
+footers, forms, scripts, styles) are left out before densities are counted, and
+lists that are mostly links after, if they are outside articles. A word in a
+class or id (sidebars, adverts, notices, reader comments) leaves an element out
+if an article element stands beside it, if it is mostly links, or if it holds no
+more than DOUBT times the text found outside such elements (for comments:
+COMMENT_DOUBT); else it is taken for the page's own text.
 
 Defined results: a null page is empty and has an empty text, null ids and URLs
 are carried, repeated rows give a row each, broken markup is read as far as it
@@ -25,6 +28,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,9 +36,12 @@ from pyspark.sql import functions as F
 
 from glotta.llm.common import map_batches, table
 
-TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'){0,65536}+)>""")
-ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+STOP = re.compile(r"""[>"']""")
+#: One attribute: its whole name, and its value in any of the three ways to write one.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+|"[^"]*+"|'[^']*+'""")
 SPACE = re.compile(r"\s+")
+NOT_WORD = re.compile(r"[\W_]+")
 
 # How elements behave in HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,8 +68,12 @@ WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sponsor
             "notice notices notification popup modal overlay newsletter subscribe subscription signup share sharing "
             "social related recommended recommendations comment comments disqus respond replies login search widget "
             "widgets copyright skip toolbar pagination pager toc".split())
+COMMENTS = set("comment comments disqus respond replies".split())
+STATES = set("no not has have with without is".split())  # `no-sidebar` tells how a page is laid out, not what an element is
 KEPT = {"html", "body", "article", "main"}
 LINK_SHARE = 0.6
+#: A class or id word drops an element unless it has more than that many times the text found outside such elements.
+DOUBT, COMMENT_DOUBT = 4, 10
 LINKED = {"ul", "ol", "dl", "table", "div", "section"}
 
 
@@ -73,7 +84,32 @@ class Page:
         self.name, self.parent, self.dropped, self.in_article = ["#page"], [-1], [False], [False]
         self.pieces: list[tuple[int, int, str]] = []  # node, block, text
         self._stack, self._block = [0], 0
+        self._open: Counter[str] = Counter()  # names on the stack
+        self._unclosed: set[int] = set()  # quotes from which no tag ends
+        self._doubts: dict[int, int] = {}  # nodes that a class or id word speaks against
         self._read(source)
+        if self._doubts:
+            self._settle()
+
+    def _tag_end(self, source: str, at: int) -> int:
+        """Where the ``>`` stands that ends a tag, past quoted values; -1 if none does.
+
+        Quotes that led nowhere are remembered, so that all tags of a page together take linear time.
+        """
+        passed = []
+        while found := STOP.search(source, at):
+            quote = found.start()
+            if source[quote] == ">":
+                return quote
+            if quote in self._unclosed:
+                break
+            passed.append(quote)
+            end = source.find(source[quote], quote + 1)
+            if end < 0:
+                break
+            at = end + 1
+        self._unclosed.update(passed)
+        return -1
 
     def _text(self, text: str) -> None:
         if text:
@@ -92,8 +128,14 @@ class Page:
             if not found:
                 at += 1
                 continue
+            tag_end = self._tag_end(source, found.end())
+            if tag_end < 0:
+                # No tag that starts before the next quote ends either.
+                stop = STOP.search(source, found.end())
+                at = stop.start() if stop else len(source)
+                continue
             self._text(source[text_from:at])
-            name, at = found[2].lower(), found.end()
+            name, at = found[2].lower(), tag_end + 1
             if found[1]:
                 self._end(name)
             elif name in RAW:
@@ -101,16 +143,17 @@ class Page:
                 lowered = lowered if len(lowered) == len(source) else source
                 end = lowered.find(f"</{name}", at)
                 at = len(source) if end < 0 else end
-                if end >= 0 and (close := TAG.match(source, end)):
-                    at = close.end()
+                if end >= 0 and (close := self._tag_end(source, end)) >= 0:
+                    at = close + 1
             else:
-                self._start(name, found[3])
+                self._start(name, source[found.end():tag_end])
             text_from = at
         self._text(source[text_from:])
 
     def _pop_to(self, depth: int) -> None:
         if any(self.name[n] in BLOCK for n in self._stack[depth:]):
             self._block += 1
+        self._open.subtract(self.name[n] for n in self._stack[depth:])
         del self._stack[depth:]
 
     def _start(self, name: str, attributes: str) -> None:
@@ -125,14 +168,20 @@ class Page:
             self.pieces.append((top, self._block, " "))
         self.name.append(name)
         self.parent.append(top)
-        self.dropped.append(self.dropped[top] or self._is_dropped(name, attributes, self.in_article[top]))
+        doubt = self._doubt(name, attributes, self.in_article[top])
+        self.dropped.append(self.dropped[top] or doubt < 0)
+        if doubt > 0:
+            self._doubts[len(self.name) - 1] = doubt
         self.in_article.append(self.in_article[top] or name in ("article", "main"))
         if name not in VOID and not attributes.endswith("/"):
             self._stack.append(len(self.name) - 1)
+            self._open[name] += 1
         elif name in BLOCK:
             self._block += 1
 
     def _close(self, names: set[str], until: set[str]) -> None:
+        if not any(self._open[name] for name in names):
+            return
         for depth in range(len(self._stack) - 1, 0, -1):
             name = self.name[self._stack[depth]]
             if name in names:
@@ -142,30 +191,71 @@ class Page:
                 return
 
     def _end(self, name: str) -> None:
+        if not self._open[name]:
+            return
         for depth in range(len(self._stack) - 1, 0, -1):
             if self.name[self._stack[depth]] == name:
                 self._pop_to(depth)
                 return
 
     @staticmethod
-    def _is_dropped(name: str, attributes: str, inside: bool) -> bool:
+    def _doubt(name: str, attributes: str, inside: bool) -> int:
+        """-1: no running text by its name, role or being hidden; else what its class and id words demand, 0 if nothing."""
         if name in DROPPED:
-            return True
+            return -1
         if name == "header":
-            return not inside
+            return 0 if inside else -1
         if not attributes or name in KEPT:
-            return False
+            return 0
+        words: set[str] = set()
         for key, *values in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), "".join(values).lower()
-            if key == "hidden" or key == "role" and value in ROLES:
-                return True
+            if key == "hidden" and value != "until-found" or key == "role" and value.strip() in ROLES:
+                return -1
             if key in ("class", "id"):
-                words = set(re.split(r"[\W_]+", value))
-                if inside and name in ("h1", "h2", "h3", "hgroup", "div", "header"):
-                    words -= {"header"}
-                if words & WORDS:
-                    return True
-        return False
+                for label in value.split():
+                    parts = [x for x in NOT_WORD.split(label) if x]
+                    if parts and parts[0] not in STATES:
+                        words.update(parts)
+        if inside and name in ("h1", "h2", "h3", "hgroup", "div", "header"):
+            words.discard("header")
+        if words & COMMENTS:
+            return COMMENT_DOUBT
+        return DOUBT if words & WORDS else 0
+
+    def _settle(self) -> None:
+        """Drop the elements in doubt, but for those that hold most of the page's text and few links."""
+        n = len(self.name)
+        chars, links, in_link = [0] * n, [0] * n, [False] * n
+        for i in range(1, n):
+            in_link[i] = in_link[self.parent[i]] or self.name[i] == "a"
+        for node, _, text in self.pieces:
+            if not self.dropped[node]:
+                size = len(SPACE.sub(" ", text).strip())
+                chars[node] += size
+                links[node] += size * in_link[node]
+        # Of each element all text, and what is outside further elements in doubt; at the root, outside all of them.
+        free = list(chars)
+        for i in range(n - 1, 0, -1):
+            p = self.parent[i]
+            chars[p] += chars[i]
+            links[p] += links[i]
+            if i not in self._doubts:
+                free[p] += free[i]
+        beside, in_doubt, named = [free[0]] * n, [False] * n, False
+        for i in range(1, n):
+            p = self.parent[i]
+            in_doubt[i] = in_doubt[p] or i in self._doubts
+            named = named or self.name[i] in ("article", "main") and free[i] > 0 and not in_doubt[i] and not self.dropped[i]
+        for i in range(1, n):
+            p = self.parent[i]
+            self.dropped[i] = self.dropped[i] or self.dropped[p]
+            beside[i] = beside[p]
+            if i in self._doubts and not self.dropped[i]:
+                # Beside an article element there is no need to look for one here.
+                self.dropped[i] = (named and not self.in_article[p] or chars[i] <= self._doubts[i] * beside[p]
+                                   or 2 * links[i] > chars[i])
+                beside[i] += free[i]
 
 
 def densities(page: Page) -> tuple[list[float], list[float], list[int], list[int]]:

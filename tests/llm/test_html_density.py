@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -92,3 +93,38 @@ SECTIONED = f"<h1>A title of 20 chars.</h1><section>{paragraphs(5, 300)}</sectio
 ])
 def test_articles_in_parts_are_whole(page, blocks):
     assert len(hd.main_text(page).split("\n\n")) == blocks
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<div style="overflow:hidden">', "</div>"), ('<div aria-hidden="false">', "</div>"),
+    ('<div data-title="the id=menu">', "</div>"), ('<div class="site no-sidebar">', "</div>"),
+    ('<div class="post" id="promotion-of-peace">', "</div>"), ("<div data-x='role=\"menu\" hidden'>", "</div>"),
+    ('<body class="menu">', "</body>"), ('<div id="comments-on-the-war"><article>', "</article></div>"),
+])
+def test_attributes_alone_lose_no_article(open_, close):
+    page = f"<nav><a href='x'>Home</a></nav>{open_}<h1>The title</h1>{paragraphs(4, 300)}{close}<footer>someone</footer>"
+    assert len(hd.main_text(page).split("\n\n")) == 5
+
+
+@pytest.mark.parametrize("noise", ["<div hidden>%s</div>", "<div HIDDEN=''>%s</div>", "<div role=dialog>%s</div>",
+                                   "<div class='big comments'>%s</div>", "<div id=cookie_notice>%s</div>"])
+def test_marked_parts_go(noise):
+    body = f"<div><h1>The title</h1>{paragraphs(4, 300)}</div>"
+    assert len(hd.main_text(body + noise % paragraphs(2, 300)).split("\n\n")) == 5
+
+
+def test_longer_comments_than_article_go():
+    page = f"<div><h1>The title</h1>{paragraphs(4, 300)}</div><div id='comments'>{paragraphs(14, 300)}</div>"
+    assert len(hd.main_text(page).split("\n\n")) == 5
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 100_000 + LONG + "</i>" * 100_000, "<ul>" * 100_000 + LONG, "<a " * 100_000, "<a" * 100_000, "<a \"" * 100_001,
+    "<a \"" * 100_000 + "'>", "<a '\" " * 100_000 + "x", "</p>" * 100_000 + LONG, "<p " + "a='1' " * 100_000 + f">{LONG}</p>",
+    "<div class=menu>" * 50_000 + LONG,
+], ids=range(10))
+def test_odd_markup_takes_linear_time(page):
+    started = time.process_time()
+    text = hd.main_text(page)
+    assert time.process_time() - started < 10
+    assert LONG not in page or text == LONG.strip()
