@@ -37,8 +37,7 @@ from glotta.llm.common import map_batches, materialize, pieces, table
 CAPACITY = 2048
 SEPARATOR = 0
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 200_000
-CACHED_PARTS = 300_000
+CACHED_WORDS, CACHED_PARTS = 500_000, 400_000  # whose ids a worker keeps, some 150 MB
 BLOCK_BYTES = 1 << 20
 
 # How the vocabulary's pre-tokenizer cuts lower-cased text, and white space between words.
@@ -134,12 +133,17 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  vocabulary: str | None = None) -> DataFrame:
     """One row per piece; ``local`` numbers the pieces of one length within the partition ``part``."""
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # Empty when sent; a worker keeps its tokenizer and the ids of words there from task to task.
+    kept = docs.sparkSession.sparkContext.broadcast({})
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, local long"
 
     def run(batches):
         import public_tokenizers
 
-        ids = _Ids(vocabulary or public_tokenizers.path(VOCABULARY))
+        path = vocabulary or public_tokenizers.path(VOCABULARY)
+        if path not in kept.value:
+            kept.value[path] = _Ids(path)
+        ids = kept.value[path]
         end = np.array([SEPARATOR], dtype="<u4").tobytes()
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
