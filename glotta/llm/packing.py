@@ -37,7 +37,7 @@ from glotta.llm.common import map_batches, materialize, pieces, table
 CAPACITY = 2048
 SEPARATOR = 0
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS, CACHED_PARTS = 500_000, 400_000  # whose ids a worker keeps, some 150 MB
+CACHED_WORDS, CACHED_PARTS = 1_000_000, 800_000  # whose ids a worker keeps, some 360 MB
 BLOCK_BYTES = 1 << 20
 
 # How the vocabulary's pre-tokenizer cuts lower-cased text, and white space between words.
