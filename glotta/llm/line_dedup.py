@@ -37,14 +37,15 @@ from glotta.llm.words import _BASE_INVERSE, mix, powers
 TAU = 2
 MIN_BYTES = 20
 BLANK = b" \t\r\x0b\x0c"
-TRIM = r"^[ \t\r\x0B\f]+|[ \t\r\x0B\f]+$"
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, key, line_no, line)`` of every line with a word; key tells texts of one id apart."""
+    # The key is made below the generator, so once per text and not once per line.
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"),
-                         F.posexplode(F.split(text_col, "\n", -1)).alias("line_no", "line"))
-    return chosen.withColumn("line", F.regexp_replace("line", TRIM, "")).filter("line <> ''")
+                         F.col(text_col).alias("text"))
+    lines = chosen.select("id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return lines.withColumn("line", F.trim("line", F.lit(BLANK.decode()))).filter("line <> ''")
 
 
 class _Lines:
