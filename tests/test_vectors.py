@@ -43,3 +43,15 @@ def test_hot_word_takes_the_salted_path_whole(spark, words):
     got = vx.document_to_vector(docs, words, ["docname"], max_broadcast_bytes=0)
     assert got.count() == 2000
     assert got.select("document_embeddings").distinct().collect()[0][0] == [0.5, 0.5]
+
+
+def test_tokens_are_not_sorted_with_their_vectors(words, docs):
+    made = vx.document_to_vector(docs, words, ["docname"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "Sort" not in plan
+
+
+def test_vectors_of_other_lengths_are_an_error(spark, docs):
+    odd = spark.createDataFrame([("casa", [1.0, 0.0]), ("perro", [1.0])], "word string, embedding array<float>")
+    with pytest.raises(Exception, match="numbers each"):
+        vx.document_to_vector(docs, odd.orderBy("word"), ["docname"]).collect()
