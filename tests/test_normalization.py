@@ -90,3 +90,33 @@ def test_stem_rules(spark):
     got = dict(nz.stem_documents(df).collect())[1]
     different = {w: (g, x) for (w, x), g in zip(cases.items(), got) if g != x}
     assert different == {}
+
+
+def test_ruled_out_endings_change_no_class(spark):
+    from glotta.functions import tagging
+    stems = ["", "x", "cant", "ñandú", "a1", "Ópera", "日本", "_", "¿", "rápid"]
+    ends = sorted({*(e for p, _ in tagging.POS_RULES[2:] for e in
+                     "mente ción sión ciones siones dad dades tad tades miento mientos ismo ismos ista istas eza ezas aje ajes ando "
+                     "iendo ar er ir aron ieron aban ían oso osas ivo ivas ica icos ado adas ido idas able ibles al ales".split()),
+                   "", "s", "es", "ces", "ing", "the", "o", "\n", "ar\n", "s\u0085"})
+    df = spark.createDataFrame([(a + b,) for a in stems for b in ends], "t string")
+    plain = F.lit(tagging.DEFAULT_POS)
+    for pattern, pos in reversed(tagging.POS_RULES):
+        plain = F.when(F.col("t").rlike(pattern), pos).otherwise(plain)
+    rows = df.select("t", tagging.rule_pos(F.col("t")).alias("got"), plain.alias("want")).withColumn(
+        "lemma", tagging.rule_lemma(F.col("t"), F.col("want"))).withColumn("full", tagging._rule_lemma(F.col("t"), F.col("want")))
+    assert rows.filter("got <> want or lemma <> full").collect() == [] and rows.filter("got is null or lemma is null").count() == 0
+
+
+def test_large_vocabulary_is_looked_up_where_the_tokens_are(spark):
+    rows = [("a", ["w1", "W2", "no", "w300"]), ("a", ["w1", "W2", "no", "w300"]), (None, ["no"]), ("c", []), ("d", None)]
+    df = spark.createDataFrame(rows, "docname string, normalized_text array<string>")
+    words = spark.range(1000).select(F.concat(F.lit("w"), "id").alias("word")).unionByName(spark.sql("select cast(null as string) word"))
+    small = nz.keep_in_vocabulary(df, words, ["docname"])
+    large = nz.keep_in_vocabulary(df, words, ["docname"], max_broadcast_rows=0)
+    want = [("a", ["w1", "W2", "w300"])] * 2 + [(None, []), ("c", []), ("d", None)]
+    assert sorted(map(tuple, small.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(map(tuple, large.collect()), key=repr) == sorted(want, key=repr)
+    for made in (small, nz.stem_documents(df, "normalized_text")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "Generate" not in plan
