@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from glotta.operators.language import (add_detected_language, detect_language, fit_language_profiles,
                                        language_mismatch_counts)
 from glotta.functions.text import char_trigrams
+from glotta.operators import language as lg
 
 TRAIN = [("a", "en", "the house of the king"), ("b", "es", "la casa de los reyes"), ("c", "fr", "la maison du roi est là")]
 SCHEMA = "docname string, language string, cleaned_text string"
@@ -68,3 +69,17 @@ def test_missing_detection_is_a_mismatch(spark, profiles):
     found = add_detected_language(df, profiles, ["docname"])
     counts = dict(language_mismatch_counts(found).collect())
     assert counts == {False: 1, True: 2}
+
+
+def test_numbers_give_what_joined_trigrams_give(spark):
+    rows = [("1", "en", "the cat sat on the mat"), ("1", "en", "the dog"), ("2", "es", "el niño está en la montaña"), (None, "es", "ñu"),
+            ("4", "fr", "𝐀𝐁𝐂𝐃 été"), ("5", None, "the the"), ("6", "en", None), ("7", "en", "123"), ("8", "fr", ""), ("9", "de", "日本語 Straße")]
+    df = spark.createDataFrame(rows, "docname string, language string, cleaned_text string")
+    profiles = lg.fit_language_profiles(df)
+    plain = df.filter("language is not null").select("language", F.explode(char_trigrams(F.col("cleaned_text"))).alias("gram"))
+    unseen = F.create_map(*(x for k, v in profiles.unseen.items() for x in (F.lit(k), F.lit(v))))
+    seen = profiles.as_rows().filter(F.col("score") > unseen[F.col("language")]).select("language", "gram")
+    assert set(map(tuple, seen.collect())) == set(map(tuple, plain.collect()))
+    small, large = (lg._sums_in_place(df, profiles, ["docname"], "cleaned_text"), lg._sums_by_join(df, profiles, ["docname"], "cleaned_text"))
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    assert "Generate" not in small._jdf.queryExecution().executedPlan().toString()
