@@ -543,13 +543,18 @@ def score_documents(spark, sf_dir):
     return _scorer(spark, sf_dir)(corpus(spark, sf_dir))
 
 
+def arriving_documents(spark, sf_dir) -> DataFrame:
+    """The corpus as a file stream."""
+    schema = table(spark, sf_dir, "documents").schema
+    # A pattern, since a stream takes no single file: the table is a file of that name or a folder of files.
+    source = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
+    return corpus_source.corpus_from_table(source, "source", "lang", "doc_id", "text")
+
+
 def score_documents_stream(spark, sf_dir):
     """The documents as a file stream, scored batch by batch."""
-    schema = table(spark, sf_dir, "documents").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    arriving = corpus_source.corpus_from_table(source, "source", "lang", "doc_id", "text")
     out = new_path(spark, "scored")
-    score_stream(arriving, _scorer(spark, sf_dir), out, new_path(spark, "stream-state")).awaitTermination()
+    score_stream(arriving_documents(spark, sf_dir), _scorer(spark, sf_dir), out, new_path(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
 

@@ -71,3 +71,15 @@ def test_labelled_vectors_and_lemmas(spark, sf_dir):
     assert 0 < made.count() <= store.count() and "context" in made.columns
     lemmas = pipelines.lemmatized_corpus(store, KEY, stems=True)
     assert lemmas.filter(F.size("stemmed_text") != F.size("lemmatized_text")).count() == 0
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_stream_reads_a_table_of_one_file_or_of_several(spark, tmp_path, folder):
+    docs = spark.range(6).selectExpr("id doc_id", "concat('text ', id) text", "'en' lang", "'src' source")
+    name = tmp_path / "documents.parquet"
+    docs.repartition(3 if folder else 1, "doc_id").write.parquet(str(name if folder else tmp_path / "made"))
+    if not folder:
+        name.write_bytes(next((tmp_path / "made").glob("part-*.parquet")).read_bytes())
+    out = str(tmp_path / "out")
+    score_stream(registry.arriving_documents(spark, str(tmp_path)), lambda df: df, out, str(tmp_path / "state")).awaitTermination()
+    assert sorted(r["docname"] for r in spark.read.parquet(out).collect()) == [str(i) for i in range(6)]
