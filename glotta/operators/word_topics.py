@@ -30,6 +30,7 @@ INNER_STEPS = 100
 INNER_CHANGE = 1e-4  # mean change of a document's topic weights at which its inner steps end
 MAX_BROADCAST_BYTES = 100_000_000  # of the table of words
 MAX_TOPICS = 1000
+CHUNK = 1 << 16  # words whose documents are worked on at once
 STORED = "word string, weights array<double>"
 
 
@@ -71,6 +72,33 @@ def document_topics(counts: np.ndarray, beta: np.ndarray, alpha: float) -> np.nd
     return gamma
 
 
+def topics_of_documents(counts: np.ndarray, beta: np.ndarray, sizes: np.ndarray, alpha: float) -> np.ndarray:
+    """``document_topics`` of documents of ``sizes`` words laid end to end, a row each.
+
+    Each step works on the documents whose own steps have not ended.
+    """
+    k = beta.shape[1]
+    out = np.zeros((len(sizes), k))
+    going = np.flatnonzero(sizes)
+    sizes = sizes[going]
+    first, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+    gamma = np.repeat((alpha + np.add.reduceat(counts, first) / k)[:, None], k, axis=1) if len(sizes) else out
+    for step in range(INNER_STEPS):
+        if not len(going):
+            break
+        before, theta = gamma, np.exp(digamma(gamma))
+        norm = (beta * theta[row]).sum(axis=1) + 1e-100
+        gamma = alpha + theta * np.add.reduceat(beta * (counts / norm)[:, None], first)
+        ended = (np.abs(gamma - before).mean(axis=1) < INNER_CHANGE) | (step == INNER_STEPS - 1)
+        if ended.any():
+            out[going[ended]] = gamma[ended]
+            left = ~ended
+            own = left[row]
+            going, sizes, gamma, counts, beta = going[left], sizes[left], gamma[left], counts[own], beta[own]
+            first, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+    return out
+
+
 def _small(words: DataFrame, k: int) -> bool:
     return has_at_most(words.select("word"), MAX_BROADCAST_BYTES // (8 * k + 64))
 
@@ -82,16 +110,21 @@ def _with_weights(bags: DataFrame, words: DataFrame, small: bool) -> DataFrame:
     return joined.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("word", "n", "weights"))).alias("w"))
 
 
-def _documents(column: pa.ListArray, k: int) -> Iterator[tuple[int, pa.StringArray, np.ndarray, np.ndarray]]:
-    """``(row, words, counts, weights)`` of each row of the second column of ``_with_weights``."""
+def _documents(column: pa.ListArray, k: int) -> Iterator[tuple[int, np.ndarray, pa.StringArray, np.ndarray, np.ndarray]]:
+    """``(first row, sizes, words, counts, weights)`` of runs of whole documents of about CHUNK words, from ``_with_weights``."""
     flat = column.flatten()
     parts = {f.name: flat.field(i) for i, f in enumerate(flat.type)}
     n = parts["n"].to_numpy(zero_copy_only=False).astype(np.float64)
     weights = parts["weights"].flatten().to_numpy(zero_copy_only=False).reshape(len(flat), k)
-    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
-    for row, end in enumerate(ends.tolist()):
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    row = 0
+    while row < len(sizes):
         start = int(ends[row - 1]) if row else 0
-        yield row, parts["word"].slice(start, end - start), n[start:end], weights[start:end]
+        stop = max(row + 1, int(np.searchsorted(ends, start + CHUNK, side="right")))
+        end = int(ends[stop - 1])
+        yield row, sizes[row:stop], parts["word"].slice(start, end - start), n[start:end], weights[start:end]
+        row = stop
 
 
 def bags_of(df: DataFrame, tokens: str, doc: Column) -> DataFrame:
@@ -135,11 +168,11 @@ def train_word_topics(df: DataFrame, k: int = NUM_TOPICS, tokens: str = "lemmati
                 if not batch.num_rows:
                     continue
                 found, shares = [], []
-                for _, own, n, weights in _documents(batch.column(1), k):
+                for _, sizes, own, n, weights in _documents(batch.column(1), k):
                     beta = np.exp(digamma(weights) - psi)
-                    theta = np.exp(digamma(document_topics(n, beta, alpha)))
+                    theta = np.repeat(np.exp(digamma(topics_of_documents(n, beta, sizes, alpha))), sizes, axis=0)
                     found.append(own)
-                    shares.append(beta * theta * (n / (beta @ theta + 1e-100))[:, None])
+                    shares.append(beta * theta * (n / ((beta * theta).sum(axis=1) + 1e-100))[:, None])
                 # Words of several documents are added up here already.
                 named = pa.chunked_array(found).combine_chunks().dictionary_encode()
                 sums = np.zeros((len(named.dictionary), k), dtype=np.int64)
@@ -175,9 +208,9 @@ def topic_shares(df: DataFrame, model: WordTopics, keys: list[str], tokens: str
     def run(batches):
         for batch in batches:
             rows = np.zeros((batch.num_rows, k))
-            for row, _, n, weights in _documents(batch.column(1), k):
-                gamma = document_topics(n, np.exp(digamma(weights) - psi), alpha)
-                rows[row] = gamma / gamma.sum()
+            for row, sizes, _, n, weights in _documents(batch.column(1), k):
+                gamma = topics_of_documents(n, np.exp(digamma(weights) - psi), sizes, alpha)
+                rows[row:row + len(sizes)] = gamma / gamma.sum(axis=1, keepdims=True)
             ends = pa.array(np.arange(batch.num_rows + 1) * k, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))],
                                              names=["doc", "shares"])

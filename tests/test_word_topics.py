@@ -123,3 +123,13 @@ def test_saved_and_loaded(spark, held, fitted, tmp_path):
     again = models.load_model(str(tmp_path / "w"))
     a, b = ({r["doc"]: r["shares"] for r in wt.topic_shares(held, m, ["doc"]).collect()} for m in (fitted, again))
     assert a == b and again.totals == fitted.totals
+
+
+def test_documents_end_to_end_equal_each_by_itself():
+    rng = np.random.default_rng(5)
+    sizes = np.array([1, 40, 3, 500, 1, 7])
+    n, beta = rng.integers(1, 9, sizes.sum()).astype(float), rng.random((sizes.sum(), 4))
+    got = wt.topics_of_documents(n, beta, sizes, 0.25)
+    ends = np.cumsum(sizes)
+    want = [wt.document_topics(n[e - s:e], beta[e - s:e], 0.25) for s, e in zip(sizes, ends)]
+    assert np.allclose(got, want, rtol=1e-9)
