@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glotta.functions import tokens as fx
 from glotta.functions.lexicons import spanish_pos_lexicon
-from glotta.functions.literals import literal_array, literal_map
+from glotta.functions.literals import literal_array
 from glotta.functions.stemming import stem_words
-from glotta.functions.tagging import rule_lemma, rule_pos
-from glotta.operators.arrays import inline_rows, rejoin_tokens, token_values
+from glotta.functions.tagging import rule_lemma, rule_lemma_of, rule_pos, rule_pos_of
+from glotta.operators.arrays import filtered_values, inline_rows, rejoin_tokens, token_values
 from glotta.operators.joins import MAX_BROADCAST_ROWS, has_at_most, lookup_join
 from glotta.operators.once import explode_tokens, filter_computed
 from glotta.scratch import materialize
@@ -71,21 +73,15 @@ def lemmatize_pos_filter(df: DataFrame, keys: list[str], lexicon: DataFrame | No
     rows = inline_rows(lexicon)
     if rows is not None:
         rows = sorted(rows, key=lambda r: (r["lemma"], r["pos"]), reverse=True)  # the least is written last
-        known_lemmas = literal_map({r["form"]: r["lemma"] for r in rows})
-        known_pos = literal_map({r["form"]: r["pos"] for r in rows})
-        forms = [r["form"] for r in rows if r["form"] is not None]
+        known = {r["form"]: (r["lemma"], r["pos"]) for r in rows if r["form"] is not None}
 
-        def known(token: Column, values: Column) -> Column:
-            return F.when(token.isin(*forms), F.element_at(values, token))  # a map is searched form by form
+        def lemmas_of(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+            at = pc.index_in(words, value_set=pa.array(list(known), pa.string()))
+            own_lemma, own_pos = (pa.array([v[i] for v in known.values()], pa.string()).take(at) for i in (0, 1))
+            pos = pc.coalesce(own_pos, rule_pos_of(words))
+            return pc.coalesce(own_lemma, rule_lemma_of(words, pos)), pc.is_in(pos, value_set=pa.array(allowed, pa.string()))
 
-        def tag(token: Column) -> Column:
-            pos = F.coalesce(known(token, known_pos), rule_pos(token))
-            return F.struct(token.alias("token"), pos.alias("pos"))
-
-        kept = F.filter(F.transform(tokens, tag), lambda t: t["pos"].isin(*allowed))
-        lemmas = F.transform(kept, lambda t: F.coalesce(known(t["token"], known_lemmas),
-                                                        rule_lemma(t["token"], t["pos"])))
-        return df.select(*[c for c in df.columns if c != tokens], lemmas.alias(out))
+        return df.select(*[c for c in df.columns if c != tokens], filtered_values(F.col(tokens), "string", lemmas_of).alias(out))
 
     def look_up(exploded: DataFrame) -> DataFrame:
         forms = lexicon.groupBy(F.col("form").alias("token")).agg(F.min(F.struct("lemma", "pos")).alias("_f"))

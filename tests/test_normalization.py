@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from glotta.functions import tokens as fx
+from glotta.functions import tagging, tokens as fx
+from glotta.operators.arrays import distinct_values
 from glotta.operators import normalization as nz
 
 # Words and stems from the published sample vocabulary of the Spanish Snowball stemmer.
@@ -120,3 +121,28 @@ def test_large_vocabulary_is_looked_up_where_the_tokens_are(spark):
     for made in (small, nz.stem_documents(df, "normalized_text")):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Sort" not in plan and "Generate" not in plan
+
+
+def test_rules_over_distinct_words_equal_the_rules(spark):
+    words = ("casas rojas luces naciones misiones papeles meses bellas famosas útil rápidamente comer comían 5as x2 _ ¿ a\n cosas\r\n "
+             "luces\n\n es\u0085 İs ٣ mente ciudad ideas").split(" ") + ["", None]
+    df = spark.createDataFrame([(words,), (None,), ([],), (words[:3] * 2,)], "t array<string>")
+    pos = df.select(F.transform("t", tagging.rule_pos).alias("a"), distinct_values(F.col("t"), "string", tagging.rule_pos_of).alias("b"))
+    for r in pos.collect():
+        assert (r["a"] and r["a"][:-1]) == (r["b"] and r["b"][:-1])
+    for kind in ("NOUN", "ADJ"):
+        same = df.select(F.transform("t", lambda t: tagging.rule_lemma(t, F.lit(kind))).alias("a"), distinct_values(
+            F.col("t"), "string", lambda own: tagging.rule_lemma_of(own, fx_pos(kind, len(own)))).alias("b"))
+        assert all(r["a"] == r["b"] for r in same.collect())
+
+
+def fx_pos(kind, n):
+    import pyarrow as pa
+    return pa.repeat(pa.scalar(kind), n)
+
+
+def test_lemmas_keep_nulls_and_documents(spark):
+    df = spark.createDataFrame([("1", ["casas", None, "comer"]), ("2", None), ("3", [])], "docname string, normalized_text array<string>")
+    got = nz.lemmatize_pos_filter(df, ["docname"])
+    assert dict(got.collect()) == {"1": ["casa", None], "2": None, "3": []}
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
