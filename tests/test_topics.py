@@ -90,3 +90,11 @@ def test_relevance(spark):
     got = {(r["topic"], r["word"]): r["relevance"] for r in tp.topic_term_relevance(weights, frequencies, 0.6).collect()}
     want = 0.6 * math.log(3 / 4) + 0.4 * math.log((3 / 4) / (3 / 8))
     assert got[(0, "a")] == pytest.approx(want, abs=1e-6) and len(got) == 4
+
+
+def test_corpus_stats_reads_the_documents_once(spark):
+    df = spark.createDataFrame([(["a", "b"],), (["b"],), ([],), (None,)], "lemmatized_text array<string>")
+    got = tp.corpus_stats(df)
+    assert dict(got.collect()) == {"unique_tokens": 2, "documents": 4}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert dict(tp.corpus_stats(df.limit(0)).collect()) == {"unique_tokens": 0, "documents": 0}
