@@ -4,14 +4,13 @@ Four kinds have base rules, whose spans always stay. High-recall generators
 propose further, overlapping spans: all runs of digit groups with loose
 separators, addresses spelled with "at" and "dot" or without a last label,
 colon-separated hexadecimal groups. Each candidate is described by its format
-and its context. Boosted trees are trained on a bounded sample of TRAIN_ROWS
-candidates that the base rules decide: matches of a rule are positive, the look-alikes
-that fail its check are negative. Every positive is also shown with the sign
+and its context. Boosted trees are trained on all candidates that the base rules
+decide, in tasks of TASK_ROWS: matches of a rule are positive, the look-alikes
+that fail its check are negative; a class weighs TRAIN_ROWS / 2 at most. Every positive is also shown with the sign
 that its rule rests on hidden (the plus of a phone number, the at-sign), so that
-the trees learn the rest of its format and its context. On a held-out part of
-the sample, its positives without their signs and both classes weighed by their
-share of all candidates, the threshold of each kind is set at the least score
-with a precision of PRECISION. What passes and overlaps neither a base span nor a better
+the trees learn the rest of its format and its context. On a held-out part,
+its positives without their signs, the threshold of each kind is set at the
+least score, in steps of 1 / STEPS, with a precision of PRECISION. What passes and overlaps neither a base span nor a better
 candidate is added.
 
 Defined results: a null text is empty, null ids are carried, repeated rows give
@@ -25,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, bisect_right, insort
-from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate, islice
 
@@ -39,6 +37,8 @@ from pyspark.sql import functions as F
 from glotta.llm.common import map_batches, materialize, table
 
 TRAIN_ROWS = 20_000
+TASK_ROWS = 100_000
+STEPS = 10_000
 TREES, DEPTH = 15, 3
 PRECISION = 0.98
 LEAST_HELD_OUT = 20
@@ -287,17 +287,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def train(scanned: DataFrame, rows: int = TRAIN_ROWS):
-    """The boosted trees and the threshold of each kind, or None if one class is missing."""
-    spark = scanned.sparkSession
+    """The boosted trees and the threshold of each kind, or None if one class is missing.
+
+    From all candidates that the rules decide; a class of more than ``rows / 2`` weighs as much as so many.
+    """
     order = F.xxhash64("row", "c.start", "c.kind", "c.end")
-    named = scanned.select("row", F.explode("candidates").alias("c")).filter("c.label >= 0").withColumn("h", order)
-    # The same number of each class at most, chosen by hash: a bounded sample, stated in the module's text.
-    known = {(r.kind, r.label): r.n for r in named.groupBy("c.kind", "c.label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = materialize(
-        named.filter("c.label = 1").orderBy("h").limit(rows // 2)
-        .unionByName(named.filter("c.label = 0").orderBy("h").limit(rows // 2)), "pii-sample")
-    labelled = sample.select("c.kind", F.col("c.label").cast("double").alias("label"), "c.x",
-                             (F.pmod("h", F.lit(4)) == 0).alias("held_out"))
+    named = scanned.select("row", F.explode("candidates").alias("c")).filter("c.label >= 0")
+    labelled = materialize(named.select("c.kind", F.col("c.label").cast("double").alias("label"), "c.x",
+                                        (F.pmod(order, F.lit(4)) == 0).alias("held_out")), "pii-labelled")
+    known = {int(r.label): r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     hidden = F.transform("x", lambda v, i: F.when(F.array_contains(
         F.element_at(F.array(*[F.array(*[F.lit(FEATURES.index(f)) for f in _HIDE[k]]).cast("array<int>")
                                for k in KINDS]), F.col("kind") + 1), i), 0.0)
@@ -306,28 +304,32 @@ def train(scanned: DataFrame, rows: int = TRAIN_ROWS):
                              *[FEATURES.index(f) for f in ("length", "separators", "distinct_separators")]), v - 1)
                          .otherwise(v))
     shown = labelled.filter("label = 1 and not held_out").withColumn("x", hidden)
+    weights = [min(1.0, rows / 2 / max(1, known.get(c, 0))) for c in (0, 1)]
+    weight = F.when(F.col("label") == 1, F.lit(weights[1])).otherwise(F.lit(weights[0]))
     data = labelled.filter("not held_out").unionByName(shown).withColumn("features", array_to_vector("x"))
     # What is added has no sign: held-out positives are scored without theirs.
     unseen = labelled.filter("held_out").withColumn("x", F.when(F.col("label") == 1, hidden).otherwise(F.col("x")))
     classes = {r.label for r in data.select("label").distinct().collect()}
     if len(classes) < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=False).fit(data.coalesce(1))
-    held = score(unseen, model).select("kind", "label", "p").collect()  # at most TRAIN_ROWS rows
-    drawn = Counter((r.kind, int(r.label)) for r in held)
+    tasks = -(-sum(known.values()) // TASK_ROWS)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=False, weightCol="weight").fit(
+        data.select("features", "label", weight.alias("weight")).coalesce(tasks))
+    # At most STEPS rows of each kind.
+    counts = score(unseen, model).groupBy("kind", F.floor(F.col("p") * STEPS).alias("step")).agg(
+        F.min("p").alias("p"), F.sum("label").alias("right"), F.sum(1 - F.col("label")).alias("wrong"))
+    held = sorted(counts.collect(), key=lambda r: -r.p)
     thresholds = []
     for kind in range(len(KINDS)):
-        own = sorted(((r.p, r.label) for r in held if r.kind == kind), reverse=True)
-        # Each row stands for as many as its class has among all candidates.
-        stands = [known.get((kind, c), 0) / max(1, drawn[kind, c]) for c in (0, 1)]
+        own = [r for r in held if r.kind == kind]
         best, right, wrong = 0.9, 0.0, 0.0
-        if len(own) >= LEAST_HELD_OUT:
+        if sum(r.right + r.wrong for r in own) >= LEAST_HELD_OUT:
             best = 1.1
-            for n, (p, good) in enumerate(own, 1):
-                right += stands[1] * good
-                wrong += stands[0] * (1 - good)
-                if right >= PRECISION * (right + wrong) and (n == len(own) or own[n][0] < p):
-                    best = p
+            for r in own:
+                right += r.right
+                wrong += r.wrong
+                if right >= PRECISION * (right + wrong):
+                    best = r.p
         thresholds.append(max(best, 0.5))
     return model, thresholds
 

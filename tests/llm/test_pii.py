@@ -5,6 +5,7 @@ import sys
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from glotta.llm import pii
 
@@ -164,3 +165,14 @@ def test_choice_equals_brute_force():
             if all(c["end"] <= s or e <= c["start"] for s, _, e in want):
                 want.append((c["start"], c["kind"], c["end"]))
         assert pii._chosen(base, scored) == sorted(want)
+
+
+def test_all_candidates_are_trained_on(spark, monkeypatch):
+    """A class beyond the rows weighs no more, but none of its candidates is left out."""
+    docs = spark.createDataFrame([(i, f"call +34 911 23{i:04d} or 5551234{i:03d} a@b{i}.org, x@y{i}") for i in range(300)], "doc_id long, text string")
+    scanned = pii.scan(docs).persist()
+    decided = scanned.select(F.explode("candidates").alias("c")).filter("c.label >= 0").count()
+    seen = []
+    monkeypatch.setattr(pii, "materialize", lambda df, name: seen.append(df.count()) or df)
+    model, thresholds = pii.train(scanned, rows=40)
+    assert seen == [decided] and decided > 600 and len(thresholds) == 4
