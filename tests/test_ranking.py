@@ -3,7 +3,7 @@ import math
 
 import pytest
 
-from glotta.operators.ranking import first_by_hash, hash_rank, order_rank
+from glotta.operators.ranking import at_least_first, first_by_hash, hash_rank, order_rank
 from glotta.plans import registry
 from pyspark.sql import functions as F
 
@@ -56,3 +56,13 @@ def test_more_vectors_than_the_old_bound(spark, sf_dir, tmp_path):
     words = [r["word"] for r in sorted(counts, key=lambda r: (-r["n"], r["word"]))]
     bound = {r["word"]: r["embedding"][0] for r in registry.bound_word_vectors(spark, str(tmp_path)).collect()}
     assert bound == {w: float(k) for k, w in enumerate(words)}
+
+
+def test_only_numbers_that_can_be_first_stay(spark):
+    counts = [1] * 500 + [2] * 50 + [31, 32, 33, 63, 64, 65, 1000, 1001, 10**9]
+    df = spark.createDataFrame([(str(i), n) for i, n in enumerate(counts)], "word string, n long")
+    for want in (-1, 0, 1, 3, 5, 9, 10, 59, 60, 559, 10**6):
+        kept = sorted((r["n"] for r in at_least_first(df, want).collect()), reverse=True)
+        assert kept == sorted(counts, reverse=True)[:len(kept)] and len(kept) >= min(max(want, 0), len(counts))
+    assert at_least_first(df, 9).count() < 100
+    assert at_least_first(df.limit(0), 5).count() == 0
