@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,36 +40,29 @@ def _pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
 
 
-def trie_of(rows: list[tuple[str, str, str]]) -> dict:
-    """``{language: node}``; a node is ``[children by word, translation or None]``."""
+def trie_of(rows: list[tuple[str, str, str]]) -> tuple[list[str], dict]:
+    """``(words, {language: node})``; a node is ``[children by the number of the word, translation or None]``."""
+    numbers: dict = {}
     out: dict = {}
     for lang, phrase, es in rows:
         node = out.setdefault(lang, [{}, None])
         for word in phrase.split(" "):
-            node = node[0].setdefault(word, [{}, None])
+            node = node[0].setdefault(numbers.setdefault(word, len(numbers)), [{}, None])
         node[1] = es
-    return out
-
-
-def translated(pieces: list[str], lowered: list[str], root: list) -> str:
-    """The pieces with every longest match replaced."""
-    out, i = [], 0
-    while i < len(pieces):
-        node, at, best = root[0].get(lowered[i]), i, None
-        while node is not None:
-            if node[1] is not None:
-                best = at + 1, node[1]
-            if at + 2 >= len(pieces) or not pieces[at + 1].isspace():
-                break
-            at += 2
-            node = node[0].get(lowered[at])
-        if best:
-            i, piece = best
-            out.append(piece)
-        else:
-            out.append(pieces[i])
-            i += 1
-    return "".join(out)
+    return list(numbers), out
+
+
+def longest_match(root: list, words: np.ndarray, pieces: pa.Array, at: int, end: int) -> tuple[int, str] | None:
+    """``(one past its last piece, translation)`` of the longest entry that begins at a piece; ``words`` numbers pieces."""
+    node, best = root[0].get(int(words[at])), None
+    while node is not None:
+        if node[1] is not None:
+            best = at + 1, node[1]
+        if at + 2 >= end or not pieces[at + 1].as_py().isspace():
+            break
+        at += 2
+        node = node[0].get(int(words[at]))
+    return best
 
 
 def translate_phrases(df: DataFrame, lexicon: DataFrame, text: str = "cleaned_text", language: str = "language",
@@ -83,23 +78,36 @@ def translate_phrases(df: DataFrame, lexicon: DataFrame, text: str = "cleaned_te
 
 
 def _by_trie(df: DataFrame, entries: DataFrame, text: str, language: str, out: str) -> DataFrame:
+    """Only texts of languages with entries are cut into pieces, and only pieces that begin an entry are looked at one by one."""
     rows = [tuple(r) for r in entries.select("lang", "phrase", "es").collect()]  # bounded by the caller
-    shared = df.sparkSession.sparkContext.broadcast(trie_of(rows))
+    listed, tries = trie_of(rows)
+    shared = df.sparkSession.sparkContext.broadcast((listed, tries))
 
     @F.arrow_udf(returnType="string")
     def translate(pieces: pa.Array, lowered: pa.Array, languages: pa.Array) -> pa.Array:
-        tries = shared.value
-        made = []
-        for own, low, lang in zip(pieces, lowered, languages.to_pylist()):
-            if own.is_valid:
-                made.append(translated(own.as_py(), low.as_py(), tries[lang]) if lang in tries else "".join(own.as_py()))
-            else:
-                made.append(None)
-        return pa.array(made, pa.string())
-
-    pieces = _pieces(F.col(text))
-    made = translate(pieces, F.transform(pieces, F.lower), F.col(language))
-    return df.select(*[c for c in df.columns if c != text], made.alias(out))
+        listed, tries = shared.value
+        own, low, langs = pieces.flatten(), lowered.flatten(), languages.to_pylist()
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pieces.value_lengths(), 0).to_numpy(zero_copy_only=False))])
+        words = pc.fill_null(pc.index_in(low, value_set=pa.array(listed, low.type)), -1).to_numpy(zero_copy_only=False)
+        begins = np.zeros(len(listed) + 1, dtype=bool)  # the last is for -1, no word of any entry
+        begins[[n for root in tries.values() for n in root[0]]] = True
+        at = np.flatnonzero(begins[words])
+        row = np.searchsorted(ends, at, side="right") - 1
+        kept, first, made, done = np.ones(len(own), dtype=bool), np.zeros(len(own), dtype=bool), [], 0
+        for i, r in zip(at.tolist(), row.tolist()):
+            best = longest_match(tries[langs[r]], words, own, i, int(ends[r + 1])) if i >= done and langs[r] in tries else None
+            if best:
+                done, es = best
+                first[i], kept[i + 1:done] = True, False
+                made.append(es)
+        replaced = pc.replace_with_mask(own, pa.array(first), pa.array(made, own.type)).filter(pa.array(kept))
+        ends = np.concatenate([[0], np.cumsum(kept)])[ends]
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), replaced, mask=pieces.is_null()), "")
+
+    known = F.coalesce(F.col(language).isin([lang for lang in tries if lang is not None]), F.lit(None in tries))
+    cut = df.select(*df.columns, known.alias("_known")).withColumn("_pieces", F.when(F.col("_known"), _pieces(F.col(text))))
+    made = translate(F.col("_pieces"), F.transform("_pieces", F.lower), F.col(language))
+    return cut.select(*[c for c in df.columns if c != text], F.when(F.col("_known"), made).otherwise(F.col(text)).alias(out))
 
 
 def _by_join(df: DataFrame, entries: DataFrame, text: str, language: str, out: str) -> DataFrame:

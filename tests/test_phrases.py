@@ -87,3 +87,23 @@ def test_given_texts_by_both_paths(spark, sf_dir):
     a, b = (sorted(map(tuple, ph.translate_phrases(docs, lexicon, max_trie_rows=n).collect())) for n in (ph.MAX_TRIE_ROWS, 0))
     assert a == b and a != sorted((d, lang, t) for d, lang, t in docs.collect())
     assert lexicon.select(F.size(F.split("token", " ")).alias("n")).distinct().count() == 4
+
+
+def test_only_texts_of_languages_with_entries_are_cut(spark, texts, lexicon, monkeypatch):
+    """Texts of other languages, most of a corpus, cost nothing; the first words of entries alone are looked up one by one."""
+    df = spark.createDataFrame(texts, "id long, language string, cleaned_text string")
+    cut = ph._pieces
+    monkeypatch.setattr(ph, "_pieces", lambda text: F.when(F.col("language") == "en", cut(text)).otherwise(
+        F.raise_error(F.lit("cut in vain")).cast("array<string>")))
+    got = ph.translate_phrases(df, lexicon.filter("lang = 'en'")).collect()
+    entries = plain([e for e in LEXICON if e[0] == "en"])
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        ((i, lang, None if t is None else brute(t, lang, entries)) for i, lang, t in texts), key=repr)
+
+
+def test_entries_of_a_null_language(spark):
+    df = spark.createDataFrame([(1, None, "a white b"), (2, "en", "a white b"), (3, None, None), (4, "fr", "")],
+                               "id long, language string, cleaned_text string")
+    lexicon = spark.createDataFrame([(None, "white", "x"), ("fr", "a", "y")], "lang string, token string, es_token string")
+    got = sorted(tuple(r) for r in ph.translate_phrases(df, lexicon).select("id", "translated_text").collect())
+    assert got == [(1, "a x b"), (2, "a white b"), (3, None), (4, "")]
