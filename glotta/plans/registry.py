@@ -109,7 +109,7 @@ def joined(tokens: str, out: str | None = None):
 def corpus_scan(spark, sf_dir):
     """Writes the corpus as a tree of text files, one folder per key, and scans it."""
     root = new_path(spark, "corpus-tree")
-    corpus(spark, sf_dir).write.partitionBy(*corpus_source.KEYS).text(root)
+    corpus_source.write_hive_corpus(corpus(spark, sf_dir), root)
     return corpus_source.scan_hive_corpus(spark, root)
 
 

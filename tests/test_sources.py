@@ -20,6 +20,40 @@ def test_tree_scan(spark, tmp_path):
     assert got == {key: text.strip() for key, text in files.items()}
 
 
+TREE = [("Wiki", "es", "a+b %20=ü:1", " hola\nmundo \n"), (None, "es", "x", None), ("", "es", "x", "leer"), ("Nil", "fr", 'q"[{^#\'*?\\/', ""),
+        ("Nil", "fr", "twice", "one"), ("Nil", "fr", "twice", "two"), ("__x", ".y", " z ", "z")]
+
+
+def test_a_written_tree_is_the_tree_that_spark_writes(spark, tmp_path):
+    df = spark.createDataFrame(TREE, "context string, language string, docname string, text string").repartition(3, "docname")
+    corpus.write_hive_corpus(df, str(tmp_path / "own"))
+    df.write.partitionBy(*corpus.KEYS).text(str(tmp_path / "spark"))
+
+    def folders(name):
+        return sorted(str(p.parent.relative_to(tmp_path / name)) for p in (tmp_path / name).rglob("part-*"))
+
+    assert folders("own") == folders("spark") and len(folders("own")) == 5
+    own, want = (sorted(map(repr, corpus.scan_hive_corpus(spark, str(tmp_path / n)).collect())) for n in ("own", "spark"))
+    assert own == want
+
+
+def test_an_empty_tree_and_a_session_left_as_it_was(spark, tmp_path):
+    df = spark.createDataFrame([], "context string, language string, docname string, text string")
+    before = spark.conf.get(corpus.LISTING)
+    corpus.write_hive_corpus(df, f"file://{tmp_path}/empty tree")
+    assert corpus.scan_hive_corpus(spark, f"file://{tmp_path}/empty tree").count() == 0
+    assert spark.conf.get(corpus.LISTING) == before
+
+
+def test_a_tree_is_written_without_a_process_for_each_file(spark, tmp_path):
+    """Spark's writer leaves a checksum file, of which mode it sets by a process, beside each file on a local file system."""
+    df = spark.range(40).select(F.lit("c").alias("context"), F.lit("es").alias("language"), F.col("id").cast("string").alias("docname"),
+                                F.lit("t").alias("text"))
+    corpus.write_hive_corpus(df, str(tmp_path / "tree"))
+    names = [p.name for p in (tmp_path / "tree").rglob("*") if p.is_file() and "SUCCESS" not in p.name]
+    assert len(names) == 40 and all(n.startswith("part-") for n in names)
+
+
 @pytest.mark.parametrize("compressed", [True, False])
 def test_word_vectors(spark, tmp_path, compressed):
     text = "3 4\nhola 0.1 -2 3e-2 4\naño 1 2 3 4 \n, 0 0 0 1\n"
