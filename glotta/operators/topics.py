@@ -27,6 +27,10 @@ NO_ABOVE = 0.5
 MAX_LDA_VOCABULARY = 2_000_000
 
 
+class VocabularyTooLarge(ValueError):
+    """More words are left than ``train_lda`` keeps on the driver."""
+
+
 def train_kmeans(vectors: DataFrame, k: int = NUM_TOPICS, column: str = "document_embeddings",
                  seed: int = SEED) -> KMeansModel:
     features = to_features(vectors, column).select("features").persist()
@@ -127,7 +131,7 @@ def train_lda(df: DataFrame, k: int = NUM_TOPICS, tokens: str = "lemmatized_text
         kept = freq.filter(F.col("count") >= least)
         size = (kept if most is None else kept.filter(F.col("count") <= most)).count()
         if size > MAX_LDA_VOCABULARY:
-            raise ValueError(f"{size} tokens are left, {MAX_LDA_VOCABULARY} at most: set min_df / max_df")
+            raise VocabularyTooLarge(f"{size} tokens are left, {MAX_LDA_VOCABULARY} at most: set min_df / max_df")
         limits = {} if max_df is None else {"maxDF": float(max_df)}
         vectorizer = CountVectorizer(inputCol=tokens, outputCol="features", minDF=min_df,
                                      vocabSize=max(size, 1), **limits).fit(documents)

@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glotta import SEED
-from glotta.operators import classification, evaluation, topics
+from glotta.operators import classification, evaluation, topics, word_topics
 from glotta.operators.boosting import BoostedClassifier
 from glotta.operators.cleaning import clean_text
 from glotta.operators.hashed_language import HashedProfiles
@@ -120,7 +121,34 @@ def kmeans_topics(vectors: DataFrame, word_vectors: DataFrame, k: int = topics.N
 
 
 def lda_topics(lemmas: DataFrame, k: int = topics.NUM_TOPICS, column: str = "lemmatized_text",
-               **options) -> tuple[topics.TrainedLda, DataFrame]:
-    """Fit LDA on lemmas (or stems) and describe the topics."""
-    trained = topics.train_lda(lemmas, k, column, **options)
-    return trained, topics.describe_topics(trained)
+               **options) -> tuple[topics.TrainedLda | word_topics.WordTopics, DataFrame]:
+    """Fit LDA on lemmas (or stems) and describe the topics.
+
+    A vocabulary beyond the bound of ``train_lda`` is kept as a table, with as many
+    passes over the documents. That form has no mini-batches and cuts no words:
+    with options of these the error of ``train_lda`` stands.
+    """
+    try:
+        trained = topics.train_lda(lemmas, k, column, **options)
+    except topics.VocabularyTooLarge:
+        if options.keys() - {"passes", "seed"}:
+            raise
+        trained = word_topics.train_word_topics(lemmas, k, column, **options)
+    return trained, describe_lda(trained)
+
+
+def describe_lda(trained: topics.TrainedLda | word_topics.WordTopics, words: int = topics.WORDS_PER_TOPIC) -> DataFrame:
+    """``(topic, rank, word, weight)``: the heaviest words of each topic of either form."""
+    if isinstance(trained, topics.TrainedLda):
+        return topics.describe_topics(trained, words)
+    found = topics.topic_word_weights(word_topics.topic_weights(trained), words)
+    return found.select("topic", F.col("rank").cast("int").alias("rank"), "word", "weight")
+
+
+def lda_shares(df: DataFrame, trained: topics.TrainedLda | word_topics.WordTopics, keys: list[str],
+               column: str = "lemmatized_text") -> DataFrame:
+    """``keys, shares``: each document's share of every topic of either form."""
+    if isinstance(trained, topics.TrainedLda):
+        scored = trained.model.transform(trained.vectorizer.transform(df))
+        return scored.select(*keys, vector_to_array("topicDistribution").alias("shares"))
+    return word_topics.topic_shares(df, trained, keys, column)

@@ -152,7 +152,7 @@ def model_store(spark, sf_dir):
     lda = _lda(spark, sf_dir)[0]
     uses = [("boosted", boosted, lambda m: classification.predict_class(data, m, DOC), DOC),
             ("kmeans", kmeans, lambda m: topics.assign_topics(data, m, DOC), DOC),
-            ("lda", lda, topics.describe_topics, ["topic", "rank"])]
+            ("lda", lda, pipelines.describe_lda, ["topic", "rank"])]
     out = None
     for name, model, use, keys in uses:
         path = new_path(spark, f"model-{name}")
@@ -616,12 +616,8 @@ def _lda(spark, sf_dir):
 def lda_topics(spark, sf_dir):
     trained, _ = _lda(spark, sf_dir)
     prepared = normalization.nonempty_lemmas(lemmas(spark, sf_dir))
-    from pyspark.ml.functions import vector_to_array
-
-    scored = trained.model.transform(trained.vectorizer.transform(prepared))
-    share = vector_to_array("topicDistribution")
-    return scored.select("docname", F.array_position(share, F.array_max(share)).cast("int").alias("topic"),
-                         F.array_max(share).alias("share"))
+    return pipelines.lda_shares(prepared, trained, DOC).select(
+        "docname", F.array_position("shares", F.array_max("shares")).cast("int").alias("topic"), F.array_max("shares").alias("share"))
 
 
 def _word_topics(spark, sf_dir):

@@ -70,6 +70,20 @@ def test_lda_refuses_a_vocabulary_over_the_bound(lemmas, monkeypatch):
         tp.train_lda(lemmas, 2)
 
 
+def test_topics_of_a_vocabulary_over_the_bound(lemmas, monkeypatch):
+    small, _ = pipelines.lda_topics(lemmas, 3, passes=5)
+    assert pipelines.lda_shares(lemmas, small, ["docname"]).count() == 60
+    monkeypatch.setattr(tp, "MAX_LDA_VOCABULARY", 5)
+    trained, words = pipelines.lda_topics(lemmas, 3, passes=20)
+    assert words.dtypes == [("topic", "int"), ("rank", "int"), ("word", "string"), ("weight", "double")]
+    rows = words.collect()
+    assert len({(r["topic"], r["rank"]) for r in rows}) == len(rows) == 30  # 10 of 12 words of each topic
+    shares = {r["docname"]: r["shares"] for r in pipelines.lda_shares(lemmas, trained, ["docname"]).collect()}
+    assert len(shares) == 60 and all(sum(s) == pytest.approx(1) for s in shares.values())
+    with pytest.raises(ValueError):
+        pipelines.lda_topics(lemmas, 3, min_df=2.0)
+
+
 def test_kmeans_topics(spark):
     rng = random.Random(2)
     rows = [(str(i), [rng.gauss(c, 0.1), rng.gauss(-c, 0.1)]) for i, c in enumerate([1.0, 5.0, -5.0] * 30)]
