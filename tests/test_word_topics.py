@@ -133,3 +133,34 @@ def test_documents_end_to_end_equal_each_by_itself():
     ends = np.cumsum(sizes)
     want = [wt.document_topics(n[e - s:e], beta[e - s:e], 0.25) for s, e in zip(sizes, ends)]
     assert np.allclose(got, want, rtol=1e-9)
+
+
+def test_small_blocks_change_nothing(docs, fitted, monkeypatch):
+    whole = wt.train_word_topics(docs, 3, passes=3)
+    monkeypatch.setattr(wt, "ENTRIES", 200)
+    monkeypatch.setattr(wt, "PIECE", 100)
+    cut = wt.train_word_topics(docs, 3, passes=3)
+    rows = lambda m: {r["word"]: r["weights"] for r in m.words.collect()}
+    one, two = rows(whole), rows(cut)
+    assert one.keys() == two.keys() and all(np.allclose(one[w], two[w], atol=1e-5) for w in one)
+    shares = {r["doc"]: r["shares"] for r in wt.topic_shares(docs, fitted, ["doc"]).collect()}
+    monkeypatch.undo()
+    assert all(np.allclose(r["shares"], shares[r["doc"]], atol=1e-9) for r in wt.topic_shares(docs, fitted, ["doc"]).collect())
+
+
+def test_a_block_names_each_of_its_words_once(docs, tmp_path):
+    # A pass moves numbers for the words of a block, not for the words of each document.
+    blocks = wt._blocks(docs.select(F.col("lemmatized_text").alias("_tokens")), 3, 1, str(tmp_path / "b"))
+    words = [wt._read(r["data"])[0].to_pylist() for r in blocks.filter(F.col("kind") == wt.WORDS).collect()]
+    assert len(words) <= 4 and all(w == sorted(set(w)) for w in words)
+    assert {x for w in words for x in w} == {x for r in docs.collect() for x in r["lemmatized_text"]}
+
+
+def test_rows_of_one_key_are_one_document(spark, fitted):
+    df = spark.createDataFrame([(1, ["pan"] * 9 + [None]), (1, ["mar"] * 3), (1, None), (None, ["mar"]), (None, ["sal"]), (2, ["pan"])],
+                               "doc long, lemmatized_text array<string>")
+    got = [(r["doc"], r["shares"]) for r in wt.topic_shares(df, fitted, ["doc"]).collect()]
+    assert sorted(str(d) for d, _ in got) == ["1", "1", "1", "2", "None", "None"]
+    merged = spark.createDataFrame([(1, ["pan"] * 9 + ["mar"] * 3), (None, ["mar", "sal"]), (2, ["pan"])], df.schema)
+    want = {r["doc"]: r["shares"] for r in wt.topic_shares(merged, fitted, ["doc"]).collect()}
+    assert all(np.allclose(s, want[d], atol=1e-9) for d, s in got)
