@@ -54,6 +54,25 @@ def test_a_tree_is_written_without_a_process_for_each_file(spark, tmp_path):
     assert len(names) == 40 and all(n.startswith("part-") for n in names)
 
 
+def test_the_driver_does_not_list_the_files_of_a_tree(spark, tmp_path):
+    rows = [("c", "es", f"d{i:03}", f"text {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "context string, language string, docname string, text string")
+    corpus.write_hive_corpus(df, str(tmp_path / "tree"))
+    got = corpus.scan_hive_corpus(spark, f"file://{tmp_path}/tree")
+    assert got.inputFiles() == [] and sorted(map(tuple, got.collect())) == rows
+    os.remove(next((tmp_path / "tree").rglob("docname=d007/part-*")))
+    (tmp_path / "tree/context=c/language=es/docname=d007/part-1.gz").write_bytes(gzip.compress(b" packed "))
+    assert got.filter("docname = 'd007'").first()["text"] == "packed"
+
+
+def test_a_filter_on_the_key_leaves_out_files(spark, tmp_path):
+    df = spark.createDataFrame([("c", "es", "a", "one"), ("d", "es", "b", "two")], "context string, language string, docname string, text string")
+    corpus.write_hive_corpus(df, str(tmp_path / "tree"))
+    scanned = corpus.scan_hive_corpus(spark, str(tmp_path / "tree")).filter("context = 'c'")
+    plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("Filter") and [r["text"] for r in scanned.collect()] == ["one"]
+
+
 @pytest.mark.parametrize("compressed", [True, False])
 def test_word_vectors(spark, tmp_path, compressed):
     text = "3 4\nhola 0.1 -2 3e-2 4\naño 1 2 3 4 \n, 0 0 0 1\n"
