@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from glotta.operators import topics
+from glotta.operators import blocks, topics
 from glotta.operators import word_topics as wt
 from glotta.sources import models
 
@@ -137,8 +137,8 @@ def test_documents_end_to_end_equal_each_by_itself():
 
 def test_small_blocks_change_nothing(docs, fitted, monkeypatch):
     whole = wt.train_word_topics(docs, 3, passes=3)
-    monkeypatch.setattr(wt, "ENTRIES", 200)
-    monkeypatch.setattr(wt, "PIECE", 100)
+    monkeypatch.setattr(blocks, "ENTRIES", 200)
+    monkeypatch.setattr(blocks, "PIECE", 100)
     cut = wt.train_word_topics(docs, 3, passes=3)
     rows = lambda m: {r["word"]: r["weights"] for r in m.words.collect()}
     one, two = rows(whole), rows(cut)
@@ -150,9 +150,9 @@ def test_small_blocks_change_nothing(docs, fitted, monkeypatch):
 
 def test_a_block_names_each_of_its_words_once(docs, tmp_path):
     # A pass moves numbers for the words of a block, not for the words of each document.
-    blocks = wt._blocks(docs.select(F.col("lemmatized_text").alias("_tokens")), 3, 1, str(tmp_path / "b"))
-    words = [wt._read(r["data"])[0].to_pylist() for r in blocks.filter(F.col("kind") == wt.WORDS).collect()]
-    assert len(words) <= 4 and all(w == sorted(set(w)) for w in words)
+    made = blocks.blocks_of(docs.select(F.col("lemmatized_text").alias("_tokens")), 1000, 1, str(tmp_path / "b"))
+    words = [blocks.read(r["data"])[0].to_pylist() for r in made.filter(F.col("kind") == blocks.WORDS).collect()]
+    assert 4 <= len(words) <= 8 and all(w == sorted(set(w)) for w in words)
     assert {x for w in words for x in w} == {x for r in docs.collect() for x in r["lemmatized_text"]}
 
 
