@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from glotta.operators import arrays, classification, language, normalization, topics, translation
+from glotta.operators import arrays, blocks, classification, language, normalization, topics, translation
 from glotta.plans import pipelines
 
 
@@ -53,6 +53,18 @@ def test_stems_beyond_the_bound(docs):
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
 
 
+def test_many_stems_are_not_joined_to_tokens(spark, docs, monkeypatch):
+    monkeypatch.setattr(blocks, "ENTRIES", 3)
+    monkeypatch.setattr(blocks, "CHUNK", 2)
+    lemmas = docs.withColumnRenamed("normalized_text", "lemmatized_text").unionByName(spark.createDataFrame(
+        [("d", ["reyes", None, "casas"], "c3", None)], "docname string, lemmatized_text array<string>, w string, pos map<string,int>"))
+    small = normalization.stem_documents(lemmas)
+    large = normalization.stem_documents(lemmas, max_broadcast_rows=0)
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
 def test_lda_counts_the_words_that_are_left(spark, monkeypatch):
     docs = spark.createDataFrame([([f"w{i}", f"w{(i + 1) % 12}"],) for i in range(12)] * 2,
                                  "lemmatized_text array<string>")
